@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylode.operators.dedup import keep_latest_row
+from citylode.operators.predicates import MONTH, with_month
 from citylode.session import scratch_path
 
 
@@ -53,19 +54,20 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFra
 
 def upsert_table(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str],
-    partition_by: str | None = None,
+    date_column: str | None = None,
 ) -> None:
-    """Upsert into a Parquet table, rewriting only the partitions the source touches.
+    """Upsert into a Parquet table, rewriting only the months the source touches.
 
-    The source is written out once, so that it is not evaluated again by each step. With a
-    partition column (a key column), the target scan is cut to the partitions the source names, and
-    dynamic partition overwrite replaces just those. The merged rows are complete in a scratch
+    The source is written out once, so that it is not evaluated again by each step. With a date
+    column (part of the key), the target scan is cut to the months the source names, and dynamic
+    partition overwrite replaces just those. The merged rows are complete in a scratch
     table, and noted as pending, before the target changes: the next upsert re-applies whatever a
     lost run left pending.
     """
-    finish_pending(spark, path, partition_by)
+    partitioned = date_column is not None
+    finish_pending(spark, path, partitioned)
     staged_source = scratch_path(spark, "upsert-source")
-    source.write.parquet(staged_source)
+    (with_month(source, date_column) if partitioned else source).write.parquet(staged_source)
     source = spark.read.parquet(staged_source)
     if source.isEmpty():
         return
@@ -73,16 +75,16 @@ def upsert_table(
     if target is None:
         merged = one_row_per_key(source, keys)
     else:
-        if partition_by:
-            first, last = source.agg(F.min(partition_by), F.max(partition_by)).first()
-            touched = source.select(partition_by).distinct()
-            target = target.filter(F.col(partition_by).between(F.lit(first), F.lit(last))).join(
-                touched, partition_by, "left_semi")
+        if partitioned:
+            first, last = source.agg(F.min(MONTH), F.max(MONTH)).first()
+            touched = source.select(MONTH).distinct()
+            target = target.filter(F.col(MONTH).between(F.lit(first), F.lit(last))).join(
+                touched, MONTH, "left_semi")
         merged = merge_rows(target.select(source.columns), source, keys)
     merged_path = scratch_path(spark, "upsert-merged")
     merged.write.parquet(merged_path)
     note(spark, path, merged_path, done=False)
-    save(spark.read.parquet(merged_path), path, partition_by)
+    save(spark.read.parquet(merged_path), path, partitioned)
     note(spark, path, merged_path, done=True)
 
 
@@ -92,27 +94,27 @@ def note(spark: SparkSession, path: str, merged_path: str, done: bool) -> None:
     line.write.mode("append").parquet(f"{path}__journal")
 
 
-def finish_pending(spark: SparkSession, path: str, partition_by: str | None) -> None:
+def finish_pending(spark: SparkSession, path: str, partitioned: bool) -> None:
     """Re-apply an overwrite that was noted as pending but never as done."""
     journal = read_if_present(spark, f"{path}__journal")
     if journal is None:
         return
     pending = journal.groupBy("merged_path").agg(F.bool_or("done").alias("done")).filter(~F.col("done"))
     for row in pending.limit(2).collect():  # a table has one writer, so at most one is pending
-        save(spark.read.parquet(row["merged_path"]), path, partition_by)
+        save(spark.read.parquet(row["merged_path"]), path, partitioned)
         note(spark, path, row["merged_path"], done=True)
 
 
-def save(df: DataFrame, path: str, partition_by: str | None) -> None:
-    """Overwrite a table, or just the partitions present in the rows.
+def save(df: DataFrame, path: str, partitioned: bool) -> None:
+    """Overwrite a table, or just the months present in the rows.
 
-    Rebalancing gathers a partition value's rows into few files, and adaptive execution splits a
-    value that is too large for one task.
+    Rebalancing gathers a month's rows into few files, and adaptive execution splits a month that
+    is too large for one task.
     """
-    if partition_by is None:
+    if not partitioned:
         df.write.mode("overwrite").parquet(path)
         return
     (
-        df.hint("rebalance", partition_by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", MONTH).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     )

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 EPOCH = dt.date(1970, 1, 1)
 
+# Stored tables are partitioned by the first day of the month of their date: a day per folder would
+# give thousands of small ones over the years, a month still prunes a delta or a date range.
+MONTH = "month"
+
 
 def all_of(*conditions: Column | None) -> Column:
     """AND of the given conditions; absent ones are left out."""
@@ -30,9 +34,28 @@ def equals(column: str, value) -> Column | None:
     return None if value is None else F.col(column) == F.lit(value)
 
 
-def after(column: str, mark: dt.date | None) -> Column:
-    """Strictly after a high-water mark; no mark means from the beginning."""
-    return F.col(column) > F.lit(mark or EPOCH)
+def month_of(day: Column) -> Column:
+    return F.trunc(day, "month")
+
+
+def with_month(df: DataFrame, date_column: str) -> DataFrame:
+    return df.withColumn(MONTH, month_of(F.col(date_column)))
+
+
+def in_days(
+    df: DataFrame, column: str, start: dt.date | None = None, end: dt.date | None = None,
+) -> DataFrame:
+    """Rows of an inclusive date range; on a stored table the month partitions are pruned too."""
+    months = None
+    if MONTH in df.columns:
+        months = date_range(MONTH, start and start.replace(day=1), end)
+    return df.filter(all_of(date_range(column, start, end), months))
+
+
+def after(df: DataFrame, column: str, mark: dt.date | None) -> DataFrame:
+    """Rows strictly after a high-water mark; no mark means from the beginning."""
+    mark = mark or EPOCH
+    return in_days(df, column, start=mark).filter(F.col(column) > F.lit(mark))
 
 
 def day_slice(df: DataFrame, column: str, day: dt.date | None = None) -> DataFrame:

@@ -89,29 +89,46 @@ def cut_zones(zones: DataFrame, cell: float, keep: list[str]) -> DataFrame:
     )
 
 
-def spatial_join(
-    points: DataFrame, zones: DataFrame, x: str = "longitude", y: str = "latitude",
-    geometry: str = "geometry", keep: list[str] | None = None, strategy: str = "auto",
-) -> DataFrame:
-    """Inner join of points to the zone that holds them; keeps the zone columns named in ``keep``.
+@dataclass(frozen=True)
+class ZoneIndex:
+    """Cut zones, ready to be joined to any number of point tables."""
+    cells: DataFrame
+    cell: float
+    columns: tuple[str, ...]
+    broadcast: bool
+
+
+def index_zones(
+    zones: DataFrame, geometry: str = "geometry",
+    keep: tuple[str, ...] = ("arrondissement_code", "nom_arrondissement"), strategy: str = "auto",
+) -> ZoneIndex:
+    """Cut zones with a GeoJSON column; ``keep`` are the columns a join attaches to a point.
 
-    Points outside every zone, or without coordinates, are dropped. ``strategy`` is auto, broadcast
-    or shuffle.
+    ``strategy`` is auto (broadcast if the bound allows), broadcast or shuffle.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    keep = keep or ["arrondissement_code", "nom_arrondissement"]
     shaped = with_edges(zones, geometry).select(
         *keep, "edges", "min_x", "min_y", "max_x", "max_y")
     grid = plan_grid(shaped)
-    cells = cut_zones(shaped, grid.cell, keep)
+    small = strategy == "broadcast" or (strategy == "auto" and grid.broadcast)
+    return ZoneIndex(cut_zones(shaped, grid.cell, list(keep)), grid.cell, tuple(keep), small)
+
+
+def spatial_join(
+    points: DataFrame, index: ZoneIndex, x: str = "longitude", y: str = "latitude",
+) -> DataFrame:
+    """Inner join of points to the zone that holds them.
+
+    Points outside every zone, or without coordinates, are dropped.
+    """
     placed = points.select(
         "*",
-        F.floor(F.col(x) / grid.cell).alias("cell_x"),
-        F.floor(F.col(y) / grid.cell).alias("cell_y"),
+        F.floor(F.col(x) / index.cell).alias("cell_x"),
+        F.floor(F.col(y) / index.cell).alias("cell_y"),
     )
-    on = ["cell_x", "cell_y"]
-    if strategy == "broadcast" or (strategy == "auto" and grid.broadcast):
+    on, cells = ["cell_x", "cell_y"], index.cells
+    if index.broadcast:
         cells = F.broadcast(cells)
     else:
         # A hot cell is spread over SALT reducers: points are salted by the input split they come

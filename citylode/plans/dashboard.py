@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from citylode.functions.numeric import fixed, times_over
 from citylode.functions.palette import ramp
+from citylode.operators.predicates import MONTH, month_of
 
 
 def pollutants(air: DataFrame) -> DataFrame:
@@ -74,10 +75,13 @@ def fleet_totals(states: DataFrame) -> DataFrame:
 def zone_snapshot(reference: DataFrame, kpi: DataFrame) -> DataFrame:
     """Every zone with its indicators of the newest day of the table, if it has any.
 
-    The newest day is a scalar subquery, which prunes a table partitioned by day.
+    The newest day is a scalar subquery; on a stored table it prunes the months as well.
     """
     newest = kpi.agg(F.max("date_jour").alias("newest")).scalar()
-    current = kpi.filter(F.col("date_jour") == newest).drop("nom_arrondissement")
+    current = kpi.filter(F.col("date_jour") == newest)
+    if MONTH in kpi.columns:
+        current = current.filter(F.col(MONTH) == month_of(newest))
+    current = current.drop("nom_arrondissement", MONTH)
     return reference.join(current, "arrondissement_code", "left")
 
 

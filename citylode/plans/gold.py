@@ -22,7 +22,7 @@ def stamped(mart: DataFrame) -> DataFrame:
 
 def measured(air: DataFrame, since: dt.date | None) -> DataFrame:
     """Measures with a value, after the mark."""
-    return air.filter(after("date_mesure", since) & F.col("valeur").isNotNull())
+    return after(air, "date_mesure", since).filter(F.col("valeur").isNotNull())
 
 
 def air_daily(air: DataFrame, since: dt.date | None = None) -> DataFrame:
@@ -64,13 +64,13 @@ def pollution_alerts(
 
 
 def bike_mart(daily: DataFrame, since: dt.date | None = None) -> DataFrame:
-    return daily.filter(after("date_jour", since)).select(
+    return after(daily, "date_jour", since).select(
         "compteur_id", "compteur_nom", "nom_site", "date_jour", "total_passages_jour",
         "nb_mesures_horaires", "pic_horaire", "latitude", "longitude")
 
 
 def road_mart(daily: DataFrame, since: dt.date | None = None) -> DataFrame:
-    return daily.filter(after("date_jour", since)).select(
+    return after(daily, "date_jour", since).select(
         "arc_id", "libelle_arc", "date_jour", "debit_moyen", "debit_max", "taux_occupation_moyen",
         "nb_heures_bloque", "nb_heures_sature", "nb_heures_dense", "nb_heures_fluide", "nb_mesures",
         "latitude", "longitude")
@@ -99,7 +99,7 @@ def air_city(
 
 def road_city(daily: DataFrame, since: dt.date | None = None) -> DataFrame:
     """City road indicators: averages of the arcs' daily averages."""
-    return daily.filter(after("date_jour", since)).groupBy("date_jour").agg(
+    return after(daily, "date_jour", since).groupBy("date_jour").agg(
         F.avg("debit_moyen").alias("debit_routier_moyen"),
         F.avg("taux_occupation_moyen").alias("taux_occupation_moyen"),
         F.sum("nb_heures_bloque").alias("total_heures_bloque"),
@@ -107,7 +107,7 @@ def road_city(daily: DataFrame, since: dt.date | None = None) -> DataFrame:
 
 
 def bike_city(daily: DataFrame, since: dt.date | None = None) -> DataFrame:
-    return daily.filter(after("date_jour", since)).groupBy("date_jour").agg(
+    return after(daily, "date_jour", since).groupBy("date_jour").agg(
         F.sum("total_passages_jour").alias("total_velos"),
         F.count_distinct("compteur_id").alias("nb_compteurs_actifs"))
 
@@ -150,7 +150,7 @@ def zone_kpi(
     }
 
     def stack(df: DataFrame) -> DataFrame:
-        return df.filter(after("date_jour", since)).select(
+        return after(df, "date_jour", since).select(
             "arrondissement_code", "date_jour",
             *[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in blank.items()])
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from citylode.operators.merge import upsert_table
+from citylode.operators.spatial import index_zones
 from citylode.operators.quality import gate, run_checks
 from citylode.operators.watermark import WatermarkLog
 from citylode.plans import gold, silver
@@ -30,7 +31,7 @@ class Raw:
     stations: DataFrame | None = None
 
 
-# name -> (partition column or None)
+# name -> date column, whose month partitions the table
 SILVER_LAYOUT = {
     "stg_arrondissements": None,
     "int_air_quality_idf": "date_mesure",
@@ -57,9 +58,10 @@ def build_silver(
         silver.air_measures(raw.air), silver.site_coordinates(raw.sites), sites))
     put("int_velo_daily", silver.bike_daily(silver.bike_counts(raw.bikes)))
     put("int_trafic_daily", silver.road_daily(silver.road_counts(raw.roads)))
-    put("int_air_quality_zoned", silver.air_zoned(tables["int_air_quality_idf"], zones))
-    put("int_trafic_zoned", silver.road_zoned(tables["int_trafic_daily"], zones))
-    put("int_velo_zoned", silver.bike_zoned(tables["int_velo_daily"], zones))
+    index = index_zones(zones)
+    put("int_air_quality_zoned", silver.air_zoned(tables["int_air_quality_idf"], index))
+    put("int_trafic_zoned", silver.road_zoned(tables["int_trafic_daily"], index))
+    put("int_velo_zoned", silver.bike_zoned(tables["int_velo_daily"], index))
     return tables
 
 

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citylode.operators.predicates import all_of, date_range, equals
+from citylode.operators.predicates import MONTH, all_of, equals, in_days
 
 MAX_LIMIT = 1000
 MAX_STATIONS = 1500
@@ -24,12 +24,15 @@ def checked(limit: int, top: int = MAX_LIMIT) -> int:
     return limit
 
 
-def newest(df: DataFrame, date_column: str, key: list[str], limit: int, *where: Column | None) -> DataFrame:
-    return df.filter(all_of(*where)).orderBy(F.col(date_column).desc(), *key).limit(checked(limit))
+def newest(
+    df: DataFrame, date_column: str, key: list[str], start: Day, end: Day, limit: int, *where: Column | None,
+) -> DataFrame:
+    chosen = in_days(df, date_column, start, end).filter(all_of(*where)).drop(MONTH)
+    return chosen.orderBy(F.col(date_column).desc(), *key).limit(checked(limit))
 
 
 def city_indicators(kpi: DataFrame, start: Day = None, end: Day = None, limit: int = 100) -> DataFrame:
-    return newest(kpi, "date_jour", [], limit, date_range("date_jour", start, end))
+    return newest(kpi, "date_jour", [], start, end, limit)
 
 
 def air_quality(
@@ -37,8 +40,8 @@ def air_quality(
     site: str | None = None, limit: int = 100,
 ) -> DataFrame:
     return newest(
-        air, "date_mesure", ["code_site", "polluant", *order_rest(air)], limit,
-        date_range("date_mesure", start, end), equals("polluant", pollutant), equals("code_site", site))
+        air, "date_mesure", ["code_site", "polluant", *order_rest(air)], start, end, limit,
+        equals("polluant", pollutant), equals("code_site", site))
 
 
 def order_rest(df: DataFrame) -> list[str]:
@@ -54,7 +57,7 @@ def alerts(
     """A page of alerts: newest first, then by how far the threshold is exceeded."""
     if offset < 0:
         raise ValueError("offset must not be negative")
-    chosen = table.filter(all_of(date_range("date_mesure", start, end), equals("polluant", pollutant)))
+    chosen = in_days(table, "date_mesure", start, end).filter(all_of(equals("polluant", pollutant))).drop(MONTH)
     return ranked_alerts(chosen).offset(offset).limit(checked(limit))
 
 
@@ -67,7 +70,7 @@ def ranked_alerts(table: DataFrame) -> DataFrame:
 def all_alerts(table: DataFrame, start: Day = None, end: Day = None, pollutant: str | None = None,
                cap: int = 2000) -> DataFrame:
     """What a client gets by paging until a cap: one limited query instead."""
-    chosen = table.filter(all_of(date_range("date_mesure", start, end), equals("polluant", pollutant)))
+    chosen = in_days(table, "date_mesure", start, end).filter(all_of(equals("polluant", pollutant))).drop(MONTH)
     return ranked_alerts(chosen).limit(cap)
 
 
@@ -75,21 +78,21 @@ def bike_days(
     bikes: DataFrame, start: Day = None, end: Day = None, counter: str | None = None, limit: int = 100,
 ) -> DataFrame:
     return newest(
-        bikes, "date_jour", ["compteur_id", *order_rest(bikes)], limit,
-        date_range("date_jour", start, end), equals("compteur_id", counter))
+        bikes, "date_jour", ["compteur_id", *order_rest(bikes)], start, end, limit,
+        equals("compteur_id", counter))
 
 
 def road_days(
     roads: DataFrame, start: Day = None, end: Day = None, arc: str | None = None, limit: int = 100,
 ) -> DataFrame:
     return newest(
-        roads, "date_jour", ["arc_id", *order_rest(roads)], limit,
-        date_range("date_jour", start, end), equals("arc_id", arc))
+        roads, "date_jour", ["arc_id", *order_rest(roads)], start, end, limit,
+        equals("arc_id", arc))
 
 
 def road_daily_average(roads: DataFrame, start: Day = None, end: Day = None, limit: int = 365) -> DataFrame:
     """Average flow over all arcs per day, oldest first."""
-    return roads.filter(date_range("date_jour", start, end)).groupBy("date_jour").agg(
+    return in_days(roads, "date_jour", start, end).groupBy("date_jour").agg(
         F.avg("debit_moyen").alias("debit_moyen")).orderBy("date_jour").limit(checked(limit))
 
 
@@ -97,8 +100,8 @@ def zone_indicators(
     kpi: DataFrame, start: Day = None, end: Day = None, zone: int | None = None, limit: int = 100,
 ) -> DataFrame:
     return newest(
-        kpi, "date_jour", ["arrondissement_code"], limit,
-        date_range("date_jour", start, end), equals("arrondissement_code", zone))
+        kpi, "date_jour", ["arrondissement_code"], start, end, limit,
+        equals("arrondissement_code", zone))
 
 
 def zone_list(reference: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ from citylode.functions import casts
 from citylode.functions.numeric import hours_in_state
 from citylode.operators.dedup import keep_last_load, keep_latest_row, newest_first
 from citylode.operators.lookup import lookup
-from citylode.operators.merge import save
-from citylode.operators.spatial import spatial_join
+from citylode.operators.predicates import MONTH, with_month
+from citylode.operators.spatial import ZoneIndex, spatial_join
 from citylode.reference_values import CLASSIFIED_HOURS, REGION_SITES
 
 ZONE = ["arrondissement_code", "nom_arrondissement"]
@@ -153,7 +153,7 @@ def zones(documents: DataFrame) -> DataFrame:
         F.to_json(at("$.geometry", "variant")).alias("geometry"))
 
 
-def air_zoned(measures: DataFrame, zone_table: DataFrame, strategy: str = "auto") -> DataFrame:
+def air_zoned(measures: DataFrame, zone_index: ZoneIndex) -> DataFrame:
     """Daily average and maximum per zone, site and pollutant.
 
     Hourly rows are first reduced to sums per site, day and pollutant, and only those are placed into
@@ -162,30 +162,31 @@ def air_zoned(measures: DataFrame, zone_table: DataFrame, strategy: str = "auto"
     reduced = measures.filter(F.col("valeur").isNotNull()).groupBy(
         "code_site", "polluant", "date_mesure", "latitude", "longitude",
     ).agg(F.sum("valeur").alias("total"), F.count(F.lit(1)).alias("n"), F.max("valeur").alias("top"))
-    return spatial_join(reduced, zone_table, keep=ZONE, strategy=strategy).groupBy(
+    return spatial_join(reduced, zone_index).groupBy(
         *ZONE, F.col("date_mesure").alias("date_jour"), "code_site", "polluant",
     ).agg(
         (F.sum("total") / F.sum("n")).alias("valeur_moyenne"), F.max("top").alias("valeur_max"))
 
 
-def road_zoned(daily: DataFrame, zone_table: DataFrame, strategy: str = "auto") -> DataFrame:
+def road_zoned(daily: DataFrame, zone_index: ZoneIndex) -> DataFrame:
     """Road days placed into zones."""
-    return spatial_join(daily, zone_table, keep=ZONE, strategy=strategy).select(
+    return spatial_join(daily, zone_index).select(
         *ZONE, "date_jour", "arc_id", "debit_moyen", "taux_occupation_moyen", "nb_heures_bloque")
 
 
-def bike_zoned(daily: DataFrame, zone_table: DataFrame, strategy: str = "auto") -> DataFrame:
+def bike_zoned(daily: DataFrame, zone_index: ZoneIndex) -> DataFrame:
     """Bicycle days placed into zones."""
-    return spatial_join(daily, zone_table, keep=ZONE, strategy=strategy).select(
+    return spatial_join(daily, zone_index).select(
         *ZONE, "date_jour", "compteur_id", "total_passages_jour")
 
 
 def materialise(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None,
+    spark: SparkSession, df: DataFrame, path: str, date_column: str | None = None,
 ) -> DataFrame:
-    """Full refresh of a table; returns it as read back."""
-    if partition_by is None:
-        save(df, path, None)
+    """Full refresh of a table, partitioned by month where it has a date; returns it as read back."""
+    if date_column is None:
+        df.write.mode("overwrite").parquet(path)
     else:
-        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        (with_month(df, date_column).hint("rebalance", MONTH)
+         .write.mode("overwrite").partitionBy(MONTH).parquet(path))
     return spark.read.parquet(path)

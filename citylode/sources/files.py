@@ -52,9 +52,12 @@ def read_delimited(
 
 
 def split_corrupt(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the quarantined text of malformed ones."""
+    """Good rows, and the quarantined text of malformed ones with how many fields they had."""
     good = scan.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = scan.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, "_file_name", "_loaded_at")
+    fields = [c for c in scan.columns if c not in (CORRUPT, "_file_name", "_loaded_at")]
+    present = F.size(F.array_compact(F.array(*fields))).alias("fields_present")
+    bad = scan.filter(F.col(CORRUPT).isNotNull()).select(
+        CORRUPT, present, "_file_name", "_loaded_at")
     return good, bad
 
 
