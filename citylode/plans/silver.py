@@ -26,17 +26,15 @@ ZONE = ["arrondissement_code", "nom_arrondissement"]
 
 def air_measures(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Hourly measures of the last load of each day, typed."""
-    begin = casts.stamp(F.col("date_debut"), strict)
-    latest = keep_last_load(
-        raw.filter(F.col("date_debut").isNotNull()), begin.cast("date"),
-    ).filter(F.col("code_site").isNotNull())
-    typed = {
-        "date_debut": begin,
+    begun = raw.filter(F.col("date_debut").isNotNull()).withColumn(
+        "date_debut", casts.stamp(F.col("date_debut"), strict))
+    latest = keep_last_load(begun, F.col("date_debut").cast("date")).filter(
+        F.col("code_site").isNotNull())
+    return latest.withColumns({
         "date_fin": casts.stamp(F.col("date_fin"), strict),
         "reglementaire": casts.is_yes(F.col("reglementaire")),
         **{c: casts.number(F.col(c)) for c in ("valeur", "valeur_brute", "taux_saisie", "validite")},
-    }
-    return latest.withColumns(typed)
+    })
 
 
 def site_coordinates(raw: DataFrame) -> DataFrame:
