@@ -52,7 +52,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: steady(F.col(c)) for c in columns})
 
 
-STORED: dict[tuple[str, str, str], str] = {}
+STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def stored(
@@ -72,8 +72,8 @@ def stored(
             df = df.repartition(cores)
         path = scratch_path(spark, name)
         df.write.parquet(path)
-        STORED[key] = path
-    return spark.read.parquet(STORED[key])
+        STORED[key] = spark.read.parquet(path)
+    return STORED[key]
 
 
 class City:
