@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from citylode.functions.casts import load_stamp
 from citylode.functions.numeric import mean_of, share, times_over
+from citylode.operators.lookup import lookup
 from citylode.operators.predicates import after
 from citylode.reference_values import ALERT_THRESHOLDS, PIVOT_COLUMNS, SITE_ALERT_LEVEL
 
@@ -169,7 +170,7 @@ def zone_kpi(
     )
     # Same columns and order as the served table; counters are NULL, not 0, without bicycle rows.
     labels = zone_table.select("arrondissement_code", "nom_arrondissement")
-    return facts.join(labels, "arrondissement_code", "left").select(
+    return lookup(facts, labels, ["arrondissement_code"]).select(
         "arrondissement_code", "nom_arrondissement", "date_jour", "no2_moyen", "pm10_moyen",
         "pm25_moyen", "pollution_indice_moyen", "debit_routier_moyen", "taux_occupation_moyen",
         "total_heures_bloque", "total_velos",

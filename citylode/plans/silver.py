@@ -185,6 +185,6 @@ def materialise(
     if date_column is None:
         df.write.mode("overwrite").parquet(path)
     else:
-        (with_month(df, date_column).hint("rebalance", MONTH)
-         .write.mode("overwrite").partitionBy(MONTH).parquet(path))
-    return spark.read.parquet(path)
+        df = with_month(df, date_column)
+        df.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
