@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylode.catalog.analogs import analog, geojson_documents, table
+from citylode.catalog.analogs import ANALOGS, analog, geojson_documents, table
 from citylode.functions import casts
 from citylode.functions import geometry as geo
 from citylode.functions.numeric import steady
@@ -22,7 +22,7 @@ from citylode.operators.dedup import keep_latest_row, newest_first, newest_load_
 from citylode.operators.merge import merge_rows, upsert_table
 from citylode.operators.predicates import after, day_slice, latest_available_day
 from citylode.operators.spatial import ZoneIndex, index_zones, spatial_join
-from citylode.operators.watermark import WatermarkLog, marks_from, merge_marks
+from citylode.operators.watermark import Watermarks, marks_from, merge_marks
 from citylode.plans import checks, dashboard, gold, nightly, serving, silver
 from citylode.reference_values import CLASSIFIED_HOURS, MERGE_KEYS, SITE_SETTINGS
 from citylode.schemas import AIR_COLUMNS, BIKE_COLUMNS, STATION_STATE
@@ -56,19 +56,18 @@ STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def stored(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], spread: bool = True,
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], source: str | None = None,
 ) -> DataFrame:
     """A table written to the shared scratch folder on first use in a session, then read from there.
 
     Raw and zone tables are stored tables, not views: what is measured and planned on top of them
-    should not include deriving them from the test tables again. A source that arrives as fewer
-    splits than the cluster has cores is spread over them once, here.
+    should not include deriving them from the test tables again. A source table that gives fewer
+    splits than there are cores is spread over them once, here.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in STORED:
-        df = build()
-        cores = spark.sparkContext.defaultParallelism
-        if spread and df.rdd.getNumPartitions() < cores:
+        df, cores = build(), spark.sparkContext.defaultParallelism
+        if source and table(spark, sf_dir, source).rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         path = scratch_path(spark, name)
         df.write.parquet(path)
@@ -83,7 +82,8 @@ class City:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return stored(self.spark, self.sf_dir, name, lambda: analog(self.spark, self.sf_dir, name))
+        return stored(
+            self.spark, self.sf_dir, name, lambda: analog(self.spark, self.sf_dir, name), ANALOGS[name][0])
 
     def air_measures(self) -> DataFrame:
         return silver.air_measures(self.raw("raw_air_quality"))
@@ -109,8 +109,7 @@ class City:
             F.parse_json("value").alias("raw_geojson"))
 
     def zones(self) -> DataFrame:
-        return stored(
-            self.spark, self.sf_dir, "zones", lambda: silver.zones(self.documents()), spread=False)
+        return stored(self.spark, self.sf_dir, "zones", lambda: silver.zones(self.documents()))
 
     @cached_property
     def index(self) -> ZoneIndex:
@@ -440,7 +439,7 @@ def green_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart after the mark stored for it."""
-    log = WatermarkLog(spark, scratch_path(spark, "marks"))
+    log = Watermarks(spark, scratch_path(spark, "marks"))
     log.advance("dm_velo_daily", MARK)
     return gold.bike_mart(City(spark, sf_dir).bikes(), log.since("dm_velo_daily"))
 
@@ -517,7 +516,7 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         city.raw("raw_air_quality"), city.raw("raw_coordonnees"), city.raw("raw_trafic_velo"),
         city.raw("raw_trafic_routier"), city.documents())
     builders = nightly.marts(nightly.build_silver(spark, raw, work, SITES))
-    log = WatermarkLog(spark, f"{work}/watermark")
+    log = Watermarks(spark, f"{work}/watermark")
     start = dt.datetime(2001, 1, 1, 6, 0)
     runs = [
         nightly.report(spark, nightly.export_marts(builders, work, log, start + dt.timedelta(hours=h)))

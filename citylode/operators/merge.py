@@ -4,25 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylode.operators.dedup import keep_latest_row
 from citylode.operators.predicates import MONTH, with_month
+from citylode.operators.slots import SlotTable, read_if_present
 from citylode.session import scratch_path
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at a path, or None when nothing has been written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def one_row_per_key(source: DataFrame, keys: list[str]) -> DataFrame:
     """Resolve repeated keys the same way on every run: newest stamp first, then by all values."""
     others = [c for c in source.columns if c not in keys]
@@ -88,21 +78,23 @@ def upsert_table(
     note(spark, path, merged_path, done=True)
 
 
+def journal(spark: SparkSession, path: str) -> SlotTable:
+    """The table's last overwrite: where its complete rows are, and whether it has finished."""
+    return SlotTable(spark, f"{path}__journal")
+
+
 def note(spark: SparkSession, path: str, merged_path: str, done: bool) -> None:
-    """Append one line to the table's journal of overwrites."""
-    line = spark.range(1).select(F.lit(merged_path).alias("merged_path"), F.lit(done).alias("done"))
-    line.write.mode("append").parquet(f"{path}__journal")
+    journal(spark, path).replace(spark.range(1).select(
+        F.lit(merged_path).alias("merged_path"), F.lit(done).alias("done")))
 
 
 def finish_pending(spark: SparkSession, path: str, partitioned: bool) -> None:
     """Re-apply an overwrite that was noted as pending but never as done."""
-    journal = read_if_present(spark, f"{path}__journal")
-    if journal is None:
-        return
-    pending = journal.groupBy("merged_path").agg(F.bool_or("done").alias("done")).filter(~F.col("done"))
-    for row in pending.limit(2).collect():  # a table has one writer, so at most one is pending
-        save(spark.read.parquet(row["merged_path"]), path, partitioned)
-        note(spark, path, row["merged_path"], done=True)
+    last = journal(spark, path).read()
+    entry = last and last.first()
+    if entry and not entry["done"]:
+        save(spark.read.parquet(entry["merged_path"]), path, partitioned)
+        note(spark, path, entry["merged_path"], done=True)
 
 
 def save(df: DataFrame, path: str, partitioned: bool) -> None:

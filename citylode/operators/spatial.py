@@ -131,9 +131,12 @@ def spatial_join(
     if index.broadcast:
         cells = F.broadcast(cells)
     else:
-        # A hot cell is spread over SALT reducers: points are salted by the input split they come
-        # from, the (much smaller) cell rows are repeated once per salt.
-        placed = placed.withColumn("salt_", F.spark_partition_id() % SALT)
+        # A hot cell is spread over SALT reducers: points are salted by their values and the split
+        # they come from (copies in different splits part too, and a retried task salts alike); the
+        # much smaller cell rows are repeated once per salt.
+        plain = [c for c, kind in points.dtypes if not kind.startswith(("map", "variant"))]
+        mixed = F.xxhash64(F.spark_partition_id(), *plain)
+        placed = placed.withColumn("salt_", F.pmod(mixed, F.lit(SALT)).cast("int"))
         cells = cells.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
         on = on + ["salt_"]
     matched = placed.join(cells, on, "inner").filter(geo.inside(F.col("edges"), F.col(x), F.col(y)))

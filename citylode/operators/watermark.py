@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylode.operators.dedup import keep_latest_row
-from citylode.operators.merge import merge_rows, read_if_present
+from citylode.operators.merge import merge_rows
 from citylode.operators.predicates import EPOCH
+from citylode.operators.slots import SlotTable
 
 SCHEMA = "dataset string, last_date date"
 
@@ -29,23 +29,16 @@ def marks_from(outputs: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return marks
 
 
-class WatermarkLog:
-    """One mark per dataset, kept as an append-only Parquet log.
-
-    Advancing appends a single row, so a lost writer leaves either the old mark or the new one.
-    """
+class Watermarks:
+    """One mark per dataset, in a stored table that each advance merges into."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        self.table = SlotTable(spark, path)
 
     def current(self) -> DataFrame:
-        log = read_if_present(self.spark, self.path)
-        if log is None:
-            return self.spark.createDataFrame([], SCHEMA)
-        return keep_latest_row(
-            log, ["dataset"], [F.col("noted_at").desc(), F.col("last_date").desc()],
-        ).select("dataset", "last_date")
+        marks = self.table.read()
+        return self.spark.createDataFrame([], SCHEMA) if marks is None else marks
 
     def get(self, dataset: str) -> dt.date:
         """The dataset's mark, the epoch when it has none."""
@@ -59,7 +52,6 @@ class WatermarkLog:
         return mark if mark == EPOCH else mark - dt.timedelta(days=lookback_days)
 
     def advance(self, dataset: str, last_date: dt.date) -> None:
-        self.spark.range(1).select(
-            F.lit(dataset).alias("dataset"), F.lit(last_date).alias("last_date"),
-            F.lit(dt.datetime.now(dt.timezone.utc).timestamp()).alias("noted_at"),
-        ).write.mode("append").parquet(self.path)
+        update = self.spark.range(1).select(
+            F.lit(dataset).alias("dataset"), F.lit(last_date).alias("last_date"))
+        self.table.replace(merge_marks(self.current(), update).coalesce(1))

@@ -87,9 +87,9 @@ def zone_snapshot(reference: DataFrame, kpi: DataFrame) -> DataFrame:
 
 def zone_colours(snapshot: DataFrame, metric: str) -> DataFrame:
     """Zones with a colour placing the metric between its least and greatest value."""
-    low = snapshot.agg(F.min(metric).alias("low")).scalar()
-    high = snapshot.agg(F.max(metric).alias("high")).scalar()
-    return snapshot.withColumn("fill_color", ramp(F.col(metric).cast("double"), low, high))
+    value = F.col(metric).cast("double")
+    bounds = snapshot.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("bounds")).scalar()
+    return snapshot.withColumn("fill_color", ramp(value, bounds["low"], bounds["high"]))
 
 
 def zone_features(coloured: DataFrame, metric: str) -> DataFrame:

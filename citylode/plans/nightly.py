@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citylode.operators.merge import upsert_table
 from citylode.operators.spatial import index_zones
 from citylode.operators.quality import gate, run_checks
-from citylode.operators.watermark import WatermarkLog
+from citylode.operators.watermark import Watermarks
 from citylode.plans import gold, silver
 from citylode.plans.checks import silver_checks
 from citylode.reference_values import DATE_COLUMNS, MERGE_KEYS, REGION_SITES
@@ -89,7 +89,7 @@ class Exported:
 
 
 def export_marts(
-    builders: dict[str, Callable[[dt.date | None], DataFrame]], root: str, log: WatermarkLog,
+    builders: dict[str, Callable[[dt.date | None], DataFrame]], root: str, log: Watermarks,
     run: dt.datetime, lookback_days: int = 0,
 ) -> dict[str, Exported]:
     """Compute and write every mart's delta once, then advance its own mark.
@@ -133,6 +133,6 @@ def run_day(
     tables = build_silver(spark, raw, root, sites)
     gate(run_checks(tables, silver_checks(tables)))
     exported = export_marts(
-        marts(tables), root, WatermarkLog(spark, f"{root}/watermark"), run, lookback_days)
+        marts(tables), root, Watermarks(spark, f"{root}/watermark"), run, lookback_days)
     load_serving(spark, exported, root)
     return exported

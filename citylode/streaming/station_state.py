@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylode.operators.dedup import keep_latest_row
-from citylode.operators.merge import read_if_present
+from citylode.operators.slots import SlotTable
 from citylode.schemas import STATION_STATE
 from citylode.streaming.ingest import has_text
 
@@ -42,39 +42,24 @@ def latest_states(states: DataFrame) -> DataFrame:
 
 
 class StateTable:
-    """The latest state per station as numbered Parquet versions.
+    """The latest state per station.
 
-    A batch is merged with the newest complete version into the next one. The work per batch is one
-    row per station, not per message, and merging the same batch again changes nothing. Versions
-    are named in the log once they are complete.
+    A batch is merged with the current version into the next one. The work per batch is one row per
+    station, not per message, and merging the same batch again changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-
-    @property
-    def log(self) -> str:
-        return f"{self.path}/log"
-
-    def newest(self) -> int:
-        """Number of the newest complete version, 0 when there is none."""
-        log = read_if_present(self.spark, self.log)
-        return 0 if log is None else log.agg(F.max("version")).first()[0] or 0
+        self.table = SlotTable(spark, path)
 
     def read(self) -> DataFrame | None:
         """Current states, None before the first batch."""
-        version = self.newest()
-        return self.spark.read.parquet(f"{self.path}/v{version}") if version else None
+        return self.table.read()
 
     def put(self, batch: DataFrame) -> None:
-        """Merge a batch of states (with a ``position`` column) into the next version."""
-        version = self.newest()
+        """Merge a batch of states (with a ``position`` column)."""
         fresh = batch.select(*STATE, "position")
-        if version:
-            fresh = fresh.unionByName(self.spark.read.parquet(f"{self.path}/v{version}"))
-        latest_states(fresh).write.mode("overwrite").parquet(f"{self.path}/v{version + 1}")
-        self.spark.range(1).select(F.lit(version + 1).alias("version")).write.mode("append").parquet(self.log)
+        known = self.table.read()
+        self.table.replace(latest_states(fresh if known is None else fresh.unionByName(known)))
 
 
 def follow(

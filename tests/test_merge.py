@@ -7,8 +7,9 @@ from hypothesis import strategies as st
 
 from citylode.operators import merge
 from citylode.operators.merge import merge_rows, upsert_table
-from citylode.operators.watermark import WatermarkLog, merge_marks
+from citylode.operators.watermark import Watermarks, merge_marks
 from citylode.operators.predicates import EPOCH
+from citylode.operators.slots import SlotTable, read_if_present
 
 SCHEMA = "k int, day date, v int"
 JAN, FEB = dt.date(2026, 1, 5), dt.date(2026, 2, 5)
@@ -61,7 +62,7 @@ def test_upsert_rewrites_only_touched_months(spark, tmp_path):
 def test_empty_source_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "served")
     upsert_table(spark, path, frame(spark, []), ["k", "day"], "day")
-    assert merge.read_if_present(spark, path) is None
+    assert read_if_present(spark, path) is None
     upsert_table(spark, path, frame(spark, [(1, JAN, 1)]), ["k", "day"], "day")
     upsert_table(spark, path, frame(spark, []), ["k", "day"], "day")
     assert stored(spark, path) == [(1, JAN, 1)]
@@ -91,7 +92,7 @@ def test_a_lost_overwrite_is_finished_by_the_next_run(spark, tmp_path, monkeypat
 
 
 def test_marks_default_advance_and_look_back(spark, tmp_path):
-    log = WatermarkLog(spark, str(tmp_path / "marks"))
+    log = Watermarks(spark, str(tmp_path / "marks"))
     assert log.get("a") == EPOCH and log.since("a", 5) == EPOCH
     log.advance("a", JAN)
     log.advance("b", JAN)
@@ -115,3 +116,19 @@ def test_month_partitions_are_pruned(spark, tmp_path):
     assert [r["day"] for r in kept.collect()] == [FEB]
     formatted = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in formatted
+
+
+def test_a_version_counts_only_once_noted(spark, tmp_path):
+    table = SlotTable(spark, str(tmp_path / "small"))
+    assert table.read() is None
+    for v in range(1, 7):
+        table.replace(frame(spark, [(1, JAN, v)]))
+    assert table.version() == 6 and rows(table.read()) == [(1, JAN, 6)]
+    frame(spark, [(1, JAN, 99)]).write.mode("overwrite").parquet(table.data_path(7))  # lost before its note
+    assert rows(table.read()) == [(1, JAN, 6)]
+    assert len(list((tmp_path / "small").glob("data-*"))) == SlotTable.SLOTS
+
+
+def test_scratch_folder_is_the_session_s(spark):
+    from citylode.session import scratch_path
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/citylode/x-")

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 
 from citylode.operators.quality import QualityError
-from citylode.operators.watermark import WatermarkLog
+from citylode.operators.watermark import Watermarks
 from citylode.plans import nightly
 from citylode.reference_values import MERGE_KEYS
 from citylode.schemas import AIR_COLUMNS, BIKE_COLUMNS, ROAD_COLUMNS
@@ -74,7 +74,7 @@ def test_a_day_then_a_repeat_then_a_new_day(spark, tmp_path):
     assert counts(later)["dm_air_quality_daily"] == 1 and counts(later)["dm_velo_daily"] == 0
     kpi = rows(served("dm_smartcity_kpi_daily").select("date_jour", "nb_stations_alerte", "total_velos"))
     assert kpi == [(dt.date(2026, 6, 8), 1, 12), (dt.date(2026, 6, 9), None, None)]
-    marks = dict(rows(WatermarkLog(spark, root + "/watermark").current()))
+    marks = dict(rows(Watermarks(spark, root + "/watermark").current()))
     assert marks["dm_air_quality_daily"] == dt.date(2026, 6, 9) and marks["dm_velo_daily"] == dt.date(2026, 6, 8)
     report = nightly.report(spark, later)
     assert report.count() == 7

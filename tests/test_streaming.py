@@ -70,7 +70,7 @@ def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     table.put(batch)
     once = rows(table.read())
     table.put(batch)
-    assert rows(table.read()) == once and table.newest() == 2
+    assert rows(table.read()) == once and table.table.version() == 2
 
 
 def test_polled_records_share_the_cycle_time(spark):
