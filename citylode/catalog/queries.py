@@ -22,7 +22,7 @@ from citylode.operators.dedup import keep_latest_row, newest_first, newest_load_
 from citylode.operators.merge import merge_rows, upsert_table
 from citylode.operators.predicates import after, day_slice, latest_available_day
 from citylode.operators.spatial import ZoneIndex, index_zones, spatial_join
-from citylode.operators.watermark import Watermarks, marks_from, merge_marks
+from citylode.operators.watermark import Watermarks, delta_start, marks_from, merge_marks
 from citylode.plans import checks, dashboard, gold, nightly, serving, silver
 from citylode.reference_values import CLASSIFIED_HOURS, MERGE_KEYS, SITE_SETTINGS
 from citylode.schemas import AIR_COLUMNS, BIKE_COLUMNS, STATION_STATE
@@ -439,9 +439,9 @@ def green_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incremental_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart after the mark stored for it."""
-    log = Watermarks(spark, scratch_path(spark, "marks"))
-    log.advance("dm_velo_daily", MARK)
-    return gold.bike_mart(City(spark, sf_dir).bikes(), log.since("dm_velo_daily"))
+    marks = Watermarks(spark, scratch_path(spark, "marks"))
+    marks.advance({"dm_velo_daily": MARK})
+    return gold.bike_mart(City(spark, sf_dir).bikes(), delta_start(marks.get("dm_velo_daily")))
 
 
 def mart_marks(city: City) -> DataFrame:
@@ -516,10 +516,10 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         city.raw("raw_air_quality"), city.raw("raw_coordonnees"), city.raw("raw_trafic_velo"),
         city.raw("raw_trafic_routier"), city.documents())
     builders = nightly.marts(nightly.build_silver(spark, raw, work, SITES))
-    log = Watermarks(spark, f"{work}/watermark")
+    marks = Watermarks(spark, f"{work}/watermark")
     start = dt.datetime(2001, 1, 1, 6, 0)
     runs = [
-        nightly.report(spark, nightly.export_marts(builders, work, log, start + dt.timedelta(hours=h)))
+        nightly.report(spark, nightly.export_marts(builders, work, marks, start + dt.timedelta(hours=h)))
         .withColumn("run_no", F.lit(h)) for h in range(2)]
     return runs[0].unionByName(runs[1])
 

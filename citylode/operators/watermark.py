@@ -40,18 +40,22 @@ class Watermarks:
         marks = self.table.read()
         return self.spark.createDataFrame([], SCHEMA) if marks is None else marks
 
+    def all(self) -> dict[str, dt.date]:
+        """Every dataset's mark; the table has one row per dataset."""
+        return {r["dataset"]: r["last_date"] for r in self.current().collect()}
+
     def get(self, dataset: str) -> dt.date:
         """The dataset's mark, the epoch when it has none."""
-        mark = self.current().filter(F.col("dataset") == dataset).agg(F.max("last_date")).first()[0]
-        return mark or EPOCH
-
-    def since(self, dataset: str, lookback_days: int = 0) -> dt.date:
-        """Where the next delta starts. With a lookback, the last days are computed again, which
-        picks up late rows; the upsert makes the repetition harmless."""
-        mark = self.get(dataset)
-        return mark if mark == EPOCH else mark - dt.timedelta(days=lookback_days)
-
-    def advance(self, dataset: str, last_date: dt.date) -> None:
-        update = self.spark.range(1).select(
-            F.lit(dataset).alias("dataset"), F.lit(last_date).alias("last_date"))
-        self.table.replace(merge_marks(self.current(), update).coalesce(1))
+        return self.all().get(dataset, EPOCH)
+
+    def advance(self, marks: dict[str, dt.date]) -> None:
+        """Set the marks of the named datasets; the others stay."""
+        if marks:
+            updates = self.spark.createDataFrame(list(marks.items()), SCHEMA)
+            self.table.replace(merge_marks(self.current(), updates).coalesce(1))
+
+
+def delta_start(mark: dt.date | None, lookback_days: int = 0) -> dt.date:
+    """Where the next delta starts. With a lookback, the last days are computed again, which picks
+    up late rows; the upsert makes the repetition harmless."""
+    return EPOCH if mark in (None, EPOCH) else mark - dt.timedelta(days=lookback_days)

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from citylode.operators.merge import upsert_table
-from citylode.operators.spatial import index_zones
 from citylode.operators.quality import gate, run_checks
-from citylode.operators.watermark import Watermarks
+from citylode.operators.spatial import index_zones
+from citylode.operators.watermark import Watermarks, delta_start
 from citylode.plans import gold, silver
 from citylode.plans.checks import silver_checks
 from citylode.reference_values import DATE_COLUMNS, MERGE_KEYS, REGION_SITES
@@ -43,26 +44,39 @@ SILVER_LAYOUT = {
 }
 
 
+def side_by_side(work: dict[str, Callable[[], object]], threads: int = 4) -> dict[str, object]:
+    """Submit independent jobs together, so that one's last tasks do not leave the cluster idle.
+
+    All of them are awaited; the first failure is then raised.
+    """
+    with ThreadPoolExecutor(threads) as pool:
+        futures = {name: pool.submit(job) for name, job in work.items()}
+    return {name: future.result() for name, future in futures.items()}
+
+
 def build_silver(
     spark: SparkSession, raw: Raw, root: str, sites=REGION_SITES,
 ) -> dict[str, DataFrame]:
-    """Write the silver tables; each builds on those already written."""
-    tables: dict[str, DataFrame] = {}
-
-    def put(name: str, df: DataFrame) -> None:
-        tables[name] = silver.materialise(spark, df, f"{root}/silver/{name}", SILVER_LAYOUT[name])
-
-    put("stg_arrondissements", silver.zones(raw.zone_documents))
-    zones = tables["stg_arrondissements"]
-    put("int_air_quality_idf", silver.air_region(
-        silver.air_measures(raw.air), silver.site_coordinates(raw.sites), sites))
-    put("int_velo_daily", silver.bike_daily(silver.bike_counts(raw.bikes)))
-    put("int_trafic_daily", silver.road_daily(silver.road_counts(raw.roads)))
-    index = index_zones(zones)
-    put("int_air_quality_zoned", silver.air_zoned(tables["int_air_quality_idf"], index))
-    put("int_trafic_zoned", silver.road_zoned(tables["int_trafic_daily"], index))
-    put("int_velo_zoned", silver.bike_zoned(tables["int_velo_daily"], index))
-    return tables
+    """Write the silver tables: typed tables first, then those placed into zones."""
+    def put(builders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        return side_by_side({
+            name: lambda name=name, build=build: silver.materialise(
+                spark, build(), f"{root}/silver/{name}", SILVER_LAYOUT[name])
+            for name, build in builders.items()})
+
+    tables = put({
+        "stg_arrondissements": lambda: silver.zones(raw.zone_documents),
+        "int_air_quality_idf": lambda: silver.air_region(
+            silver.air_measures(raw.air), silver.site_coordinates(raw.sites), sites),
+        "int_velo_daily": lambda: silver.bike_daily(silver.bike_counts(raw.bikes)),
+        "int_trafic_daily": lambda: silver.road_daily(silver.road_counts(raw.roads)),
+    })
+    index = index_zones(tables["stg_arrondissements"])
+    return tables | put({
+        "int_air_quality_zoned": lambda: silver.air_zoned(tables["int_air_quality_idf"], index),
+        "int_trafic_zoned": lambda: silver.road_zoned(tables["int_trafic_daily"], index),
+        "int_velo_zoned": lambda: silver.bike_zoned(tables["int_velo_daily"], index),
+    })
 
 
 def marts(tables: dict[str, DataFrame]) -> dict[str, Callable[[dt.date | None], DataFrame]]:
@@ -84,39 +98,45 @@ def marts(tables: dict[str, DataFrame]) -> dict[str, Callable[[dt.date | None],
 @dataclass(frozen=True)
 class Exported:
     rows: int
-    path: str
     last_date: dt.date | None
+    path: str
 
 
 def export_marts(
-    builders: dict[str, Callable[[dt.date | None], DataFrame]], root: str, log: Watermarks,
+    builders: dict[str, Callable[[dt.date | None], DataFrame]], root: str, marks: Watermarks,
     run: dt.datetime, lookback_days: int = 0,
 ) -> dict[str, Exported]:
     """Compute and write every mart's delta once, then advance its own mark.
 
     Each run writes its own folder below the run date, so an empty delta never replaces an earlier
-    export of that day. The mark moves only after the write has finished and only if it had rows;
-    the reference table has no mark and is exported in full.
+    export of that day. A mark moves only after the mart's write has finished, only if it had rows,
+    and also when another mart failed; the reference table has no mark and is exported in full.
     """
-    done = {}
-    for dataset, build in builders.items():
+    before, done = marks.all(), {}
+
+    def export(dataset: str) -> None:
         date_column = DATE_COLUMNS.get(dataset)
-        since = log.since(dataset, lookback_days) if date_column else None
+        since = delta_start(before.get(dataset), lookback_days) if date_column else None
         path = f"{snapshot_path(root, dataset, run.date())}/run={run:%H%M%S%f}"
-        rows, last = export_counted(build(since), path, date_column)
-        if rows and date_column:
-            log.advance(dataset, last)
-        done[dataset] = Exported(rows, path, last)
-    return done
+        done[dataset] = Exported(*export_counted(builders[dataset](since), path, date_column), path)
+
+    try:
+        side_by_side({dataset: lambda dataset=dataset: export(dataset) for dataset in builders})
+    finally:
+        marks.advance({d: e.last_date for d, e in done.items() if e.rows and d in DATE_COLUMNS})
+    return {dataset: done[dataset] for dataset in builders}
 
 
 def load_serving(spark: SparkSession, exported: dict[str, Exported], root: str) -> None:
     """Upsert the exported rows into the served tables; nothing exported, nothing done."""
-    for dataset, export in exported.items():
-        if export.rows and dataset in MERGE_KEYS:
-            rows = as_served(read_lowered(spark, export.path), dataset)
-            upsert_table(
-                spark, f"{root}/serving/{dataset}", rows, MERGE_KEYS[dataset], DATE_COLUMNS.get(dataset))
+    def load(dataset: str, path: str) -> None:
+        rows = as_served(read_lowered(spark, path), dataset)
+        upsert_table(
+            spark, f"{root}/serving/{dataset}", rows, MERGE_KEYS[dataset], DATE_COLUMNS.get(dataset))
+
+    side_by_side({
+        dataset: lambda dataset=dataset, path=export.path: load(dataset, path)
+        for dataset, export in exported.items() if export.rows and dataset in MERGE_KEYS})
 
 
 def report(spark: SparkSession, exported: dict[str, Exported]) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from citylode.operators import merge
 from citylode.operators.merge import merge_rows, upsert_table
-from citylode.operators.watermark import Watermarks, merge_marks
+from citylode.operators.watermark import Watermarks, delta_start, merge_marks
 from citylode.operators.predicates import EPOCH
 from citylode.operators.slots import SlotTable, read_if_present
 
@@ -93,12 +93,12 @@ def test_a_lost_overwrite_is_finished_by_the_next_run(spark, tmp_path, monkeypat
 
 def test_marks_default_advance_and_look_back(spark, tmp_path):
     log = Watermarks(spark, str(tmp_path / "marks"))
-    assert log.get("a") == EPOCH and log.since("a", 5) == EPOCH
-    log.advance("a", JAN)
-    log.advance("b", JAN)
-    log.advance("a", FEB)
+    assert log.get("a") == EPOCH and delta_start(log.get("a"), 5) == delta_start(None) == EPOCH
+    log.advance({"a": JAN, "b": JAN})
+    log.advance({"a": FEB})
+    log.advance({})
     assert log.get("a") == FEB and log.get("b") == JAN
-    assert log.since("a", 3) == FEB - dt.timedelta(days=3)
+    assert delta_start(log.get("a"), 3) == FEB - dt.timedelta(days=3)
     assert rows(log.current()) == [("a", FEB), ("b", JAN)]
 
 

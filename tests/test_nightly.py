@@ -94,3 +94,16 @@ def test_a_failed_check_stops_before_the_marts(spark, tmp_path):
     with pytest.raises(QualityError, match="not_null:latitude"):
         nightly.run_day(spark, bad, str(tmp_path), sites=["S2"])
     assert not (tmp_path / "gold_export").exists()
+
+
+def test_a_failed_mart_does_not_hold_back_the_others(spark, tmp_path):
+    day = spark.createDataFrame([("c1", dt.date(2026, 6, 8))], "compteur_id string, date_jour date")
+
+    def broken(since):
+        raise RuntimeError("no such column")
+
+    marks = Watermarks(spark, str(tmp_path / "marks"))
+    with pytest.raises(RuntimeError, match="no such column"):
+        nightly.export_marts(
+            {"dm_velo_daily": lambda since: day, "dm_zone_kpi_daily": broken}, str(tmp_path), marks, AT)
+    assert marks.all() == {"dm_velo_daily": dt.date(2026, 6, 8)}
