@@ -24,7 +24,7 @@ from citylode.operators.predicates import after, day_slice, latest_available_day
 from citylode.operators.spatial import ZoneIndex, index_zones, spatial_join
 from citylode.operators.watermark import Watermarks, delta_start, marks_from, merge_marks
 from citylode.plans import checks, dashboard, gold, nightly, serving, silver
-from citylode.reference_values import CLASSIFIED_HOURS, MERGE_KEYS, SITE_SETTINGS
+from citylode.reference_values import CLASSIFIED_HOURS, DATE_COLUMNS, MERGE_KEYS, SITE_SETTINGS
 from citylode.schemas import AIR_COLUMNS, BIKE_COLUMNS, STATION_STATE
 from citylode.session import scratch_path
 from citylode.sinks.export import export_snapshot
@@ -56,25 +56,26 @@ STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def stored(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], source: str | None = None,
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+    date_column: str | None = None,
 ) -> DataFrame:
     """A table written to the shared scratch folder on first use in a session, then read from there.
 
-    Raw and zone tables are stored tables, not views: what is measured and planned on top of them
-    should not include deriving them from the test tables again. A source table that gives fewer
-    splits than there are cores is spread over them once, here.
+    Raw, zone and served tables are stored tables, not views: what is measured and planned on top of
+    them should not include deriving them from the test tables again.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in STORED:
-        df, cores = build(), spark.sparkContext.defaultParallelism
-        if source and table(spark, sf_dir, source).rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
-        STORED[key] = spark.read.parquet(path)
+        STORED[key] = silver.materialise(spark, build(), scratch_path(spark, name), date_column)
     return STORED[key]
 
 
+def spread(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Spread rows over the cores when their source table gives fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if source.rdd.getNumPartitions() < cores else df
+
+
 class City:
     """The layers over one data folder."""
 
@@ -82,8 +83,14 @@ class City:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
+        source = ANALOGS[name][0]
+        return stored(self.spark, self.sf_dir, name, lambda: spread(
+            analog(self.spark, self.sf_dir, name), table(self.spark, self.sf_dir, source)))
+
+    def served(self, name: str) -> DataFrame:
+        """A stored mart, partitioned by month like a served table."""
         return stored(
-            self.spark, self.sf_dir, name, lambda: analog(self.spark, self.sf_dir, name), ANALOGS[name][0])
+            self.spark, self.sf_dir, name, lambda: MARTS[name](self), DATE_COLUMNS[name])
 
     def air_measures(self) -> DataFrame:
         return silver.air_measures(self.raw("raw_air_quality"))
@@ -135,6 +142,15 @@ class City:
         return station_state.latest_states(self.raw("station_states"))
 
 
+MARTS: dict[str, Callable[[City], DataFrame]] = {
+    "dm_air_quality_daily": lambda city: gold.air_daily(city.air()),
+    "dm_alertes_pollution": lambda city: gold.pollution_alerts(city.air()),
+    "dm_velo_daily": lambda city: gold.bike_mart(city.bikes()),
+    "dm_trafic_routier_daily": lambda city: gold.road_mart(city.roads()),
+    "dm_smartcity_kpi_daily": lambda city: city.city_kpi(),
+    "dm_zone_kpi_daily": lambda city: city.zone_kpi(),
+}
+
 AIR_AVERAGES = ("valeur_moyenne", "taux_saisie_moyen")
 CITY_AVERAGES = (
     "no2_moyen", "pm10_moyen", "pm25_moyen", "o3_moyen", "debit_routier_moyen", "taux_occupation_moyen")
@@ -528,81 +544,81 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def serve_air(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = rounded(gold.air_daily(City(spark, sf_dir).air()), *AIR_AVERAGES)
+    mart = rounded(City(spark, sf_dir).served("dm_air_quality_daily"), *AIR_AVERAGES)
     return serving.air_quality(
         mart, dt.date(1998, 1, 5), dt.date(1998, 1, 20), pollutant="NO2", limit=200)
 
 
 @query
 def serve_air_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = rounded(gold.air_daily(City(spark, sf_dir).air()), *AIR_AVERAGES)
+    mart = rounded(City(spark, sf_dir).served("dm_air_quality_daily"), *AIR_AVERAGES)
     return serving.air_quality(mart, start=AIR_DAY, site="FR04003", limit=1000)
 
 
 @query
 def serve_alerts_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = rounded(gold.pollution_alerts(City(spark, sf_dir).air()), "valeur_moyenne")
+    mart = rounded(City(spark, sf_dir).served("dm_alertes_pollution"), "valeur_moyenne")
     return serving.alerts(mart, end=dt.date(1998, 1, 25), limit=150, offset=75)
 
 
 @query
 def serve_all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mart = rounded(gold.pollution_alerts(City(spark, sf_dir).air()), "valeur_moyenne")
+    mart = rounded(City(spark, sf_dir).served("dm_alertes_pollution"), "valeur_moyenne")
     return serving.all_alerts(mart, pollutant="NO2")
 
 
 @query
 def serve_bike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.bike_days(
-        gold.bike_mart(City(spark, sf_dir).bikes()), start=dt.date(1997, 1, 1), counter="c17")
+        City(spark, sf_dir).served("dm_velo_daily"), start=dt.date(1997, 1, 1), counter="c17")
 
 
 @query
 def serve_road(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.road_days(
-        rounded(gold.road_mart(City(spark, sf_dir).roads()), *ROAD_AVERAGES),
+        rounded(City(spark, sf_dir).served("dm_trafic_routier_daily"), *ROAD_AVERAGES),
         end=dt.date(1998, 6, 30), arc="arc3", limit=500)
 
 
 @query
 def serve_road_daily_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(serving.road_daily_average(
-        gold.road_mart(City(spark, sf_dir).roads()), start=dt.date(1998, 1, 1)), "debit_moyen")
+        City(spark, sf_dir).served("dm_trafic_routier_daily"), start=dt.date(1998, 1, 1)), "debit_moyen")
 
 
 @query
 def serve_city_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(serving.city_indicators(
-        City(spark, sf_dir).city_kpi(), end=dt.date(1998, 1, 20), limit=10), *CITY_AVERAGES)
+        City(spark, sf_dir).served("dm_smartcity_kpi_daily"), end=dt.date(1998, 1, 20), limit=10), *CITY_AVERAGES)
 
 
 @query
 def serve_zone_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(serving.zone_indicators(
-        City(spark, sf_dir).zone_kpi(), start=dt.date(1998, 1, 1), zone=14, limit=50), *ZONE_AVERAGES)
+        City(spark, sf_dir).served("dm_zone_kpi_daily"), start=dt.date(1998, 1, 1), zone=14, limit=50), *ZONE_AVERAGES)
 
 
 # ------------------------------------------------------------------ dashboard
 
 @query
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.pollutants(gold.air_daily(City(spark, sf_dir).air()))
+    return dashboard.pollutants(City(spark, sf_dir).served("dm_air_quality_daily"))
 
 
 @query
 def pollutant_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(
-        dashboard.pollutant_trend(gold.air_daily(City(spark, sf_dir).air()), "NO2"), "valeur_moyenne")
+        dashboard.pollutant_trend(City(spark, sf_dir).served("dm_air_quality_daily"), "NO2"), "valeur_moyenne")
 
 
 @query
 def top_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.most_exposed_sites(gold.air_daily(City(spark, sf_dir).air()), "PM10")
+    return dashboard.most_exposed_sites(City(spark, sf_dir).served("dm_air_quality_daily"), "PM10")
 
 
 @query
 def custom_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dashboard.exceedances(gold.air_daily(City(spark, sf_dir).air()), "NO2", 40)
+    rows = dashboard.exceedances(City(spark, sf_dir).served("dm_air_quality_daily"), "NO2", 40)
     return dashboard.ranked(
         rounded(rows.select("date_mesure", "code_site", "nom_site", "unite_mesure", "type_implantation",
                             "valeur_max", "valeur_moyenne", "ratio"), "valeur_moyenne"),
@@ -611,34 +627,32 @@ def custom_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def threshold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    alerts = gold.pollution_alerts(City(spark, sf_dir).air())
+    alerts = City(spark, sf_dir).served("dm_alertes_pollution")
     return dashboard.exceedance_summary(
         dashboard.exceedances(alerts, "O3", 60, value="valeur_max_journaliere"))
 
 
 @query
 def map_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dashboard.exceedances(gold.air_daily(City(spark, sf_dir).air()), "PM10", 50)
+    rows = dashboard.exceedances(City(spark, sf_dir).served("dm_air_quality_daily"), "PM10", 50)
     return dashboard.with_coordinates(rows).select(
         "code_site", "date_mesure", "unite_mesure", "type_implantation", "ratio", "latitude", "longitude")
 
 
 @query
 def bike_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.bike_trend(gold.bike_mart(City(spark, sf_dir).bikes()))
+    return dashboard.bike_trend(City(spark, sf_dir).served("dm_velo_daily"))
 
 
 @query
 def latest_city_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(dashboard.latest_city_day(City(spark, sf_dir).city_kpi()), *CITY_AVERAGES)
+    return rounded(dashboard.latest_city_day(City(spark, sf_dir).served("dm_smartcity_kpi_daily")), *CITY_AVERAGES)
 
 
 def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zones with the indicators of the newest day, over stored zone and indicator tables."""
-    city, work = City(spark, sf_dir), scratch_path(spark, "snapshot")
-    zones = silver.materialise(spark, gold.reference_zones(city.zones()), f"{work}/zones")
-    kpi = silver.materialise(spark, city.zone_kpi(), f"{work}/kpi", "date_jour")
-    return dashboard.zone_snapshot(zones, kpi)
+    """Zones with the indicators of the newest day."""
+    city = City(spark, sf_dir)
+    return dashboard.zone_snapshot(gold.reference_zones(city.zones()), city.served("dm_zone_kpi_daily"))
 
 
 @query

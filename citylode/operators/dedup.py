@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def newest_load_per_day(raw: DataFrame, day: Column, loaded_at: str = "_loaded_at") -> DataFrame:
-    """The latest load time of every calendar day."""
-    return raw.groupBy(day.alias("load_day")).agg(F.max(loaded_at).alias("newest_load"))
+    """The latest load time of every calendar day from year 1 to 9999."""
+    first, last = (F.lit(text).cast("date") for text in ("0001-01-01", "9999-12-31"))
+    return raw.filter(day.between(first, last)).groupBy(
+        day.alias("load_day")).agg(F.max(loaded_at).alias("newest_load"))
 
 
 def keep_last_load(raw: DataFrame, day: Column, loaded_at: str = "_loaded_at") -> DataFrame:
@@ -17,8 +19,8 @@ def keep_last_load(raw: DataFrame, day: Column, loaded_at: str = "_loaded_at") -
     The rule is per day over the whole table, not per key: a partial reload of a day replaces every
     earlier row of that day. Rows without a load time never match, nor do rows without a day.
 
-    The per-day table has one row per calendar day, at most 3.7 million of two 8-byte fields for
-    the years 1 to 9999 however large the input, so it is broadcast: the wide table is neither
+    The per-day table has one row per calendar day of the years 1 to 9999, at most 3.7 million rows
+    of a date and a time however large the input, so it is broadcast: the wide table is neither
     shuffled nor sorted, and a day holding a third of all rows stays spread over its input splits.
     """
     newest = newest_load_per_day(raw, day, loaded_at)

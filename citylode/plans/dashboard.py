@@ -61,7 +61,7 @@ def bike_trend(bikes: DataFrame) -> DataFrame:
 
 def latest_city_day(kpi: DataFrame) -> DataFrame:
     """The newest day's indicators."""
-    return kpi.orderBy(F.col("date_jour").desc()).limit(1)
+    return kpi.drop(MONTH).orderBy(F.col("date_jour").desc()).limit(1)
 
 
 def fleet_totals(states: DataFrame) -> DataFrame:
