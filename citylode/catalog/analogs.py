@@ -30,10 +30,6 @@ def point(template: str, key: str) -> str:
     return template.replace("{k}", key)
 
 
-def fixed_text(value: str) -> str:
-    return f"'{value}'"
-
-
 # table -> (source, {column: expression})
 ANALOGS: dict[str, tuple[str, dict[str, str]]] = {
     "raw_air_quality": ("events", {

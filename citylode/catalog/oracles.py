@@ -27,10 +27,6 @@ def values(items) -> str:
     return ", ".join("'" + str(i).replace("'", "''") + "'" for i in items)
 
 
-def when_missing(column: str, name: str | None = None) -> str:
-    return f"cast(count(*) filter (where {column} is null) as bigint)"
-
-
 PARSE = "strptime({0}, '%Y/%m/%d %H:%M:%S')"
 WHOLE = "cast(round(try_cast({0} as decimal(38,6)), 0) as bigint)"
 THRESHOLDS = ", ".join(f"('{p}', cast({t} as double), '{u}', '{k}')" for p, t, u, k in ALERT_THRESHOLDS)

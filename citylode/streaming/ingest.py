@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylode.sources.files import (
-    CORRUPT, corruptible, delimited_options, split_corrupt, with_lineage,
-)
+from citylode.sources.files import corruptible, delimited_options, split_corrupt, with_lineage
 
 
 def stream_delimited(
@@ -43,8 +41,6 @@ def loaded(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(table).drop("batch")
 
 
-def has_text(column: str):
+def has_text(column: str) -> Column:
+    """Neither missing nor empty."""
     return F.coalesce(F.col(column), F.lit("")) != ""
-
-
-__all__ = ["CORRUPT", "has_text", "load_new_files", "loaded", "stream_delimited"]
