@@ -86,10 +86,14 @@ def zone_snapshot(reference: DataFrame, kpi: DataFrame) -> DataFrame:
 
 
 def zone_colours(snapshot: DataFrame, metric: str) -> DataFrame:
-    """Zones with a colour placing the metric between its least and greatest value."""
+    """Zones with a colour placing the metric between its least and greatest value.
+
+    Both bounds are one scalar subquery, kept as a column so that it is planned once.
+    """
     value = F.col(metric).cast("double")
     bounds = snapshot.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("bounds")).scalar()
-    return snapshot.withColumn("fill_color", ramp(value, bounds["low"], bounds["high"]))
+    ramped = ramp(value, F.col("bounds_.low"), F.col("bounds_.high"))
+    return snapshot.withColumn("bounds_", bounds).withColumn("fill_color", ramped).drop("bounds_")
 
 
 def zone_features(coloured: DataFrame, metric: str) -> DataFrame:

@@ -137,4 +137,10 @@ def test_shuffle_path_keeps_every_copy_of_a_hot_point(spark):
     many = spark.range(9_000).select(
         F.col("id"), F.lit(.5).alias("longitude"), F.lit(.5).alias("latitude"))
     index = index_zones(zones(spark, polygon(box(0, 0, 1, 1))), strategy="shuffle")
-    assert spatial_join(many, index).count() == 9_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spatial_join(many, index)
+        assert "SortMergeJoin" in plan_of(joined)
+        assert joined.count() == joined.select("id").distinct().count() == 9_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
