@@ -14,8 +14,12 @@ def number(text: Column) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Text to integer, rounding a fraction: '12.0' is 12, '12.5' is 13, 'bad' is NULL."""
-    return F.round(text.try_cast("decimal(38,6)"), 0).try_cast("bigint")
+    """Text to integer, rounding a fraction: '12.0' is 12, '12.5' is 13, 'bad' is NULL.
+
+    Only text that is not plainly an integer takes the slower way through a decimal.
+    """
+    rounded = F.round(text.try_cast("decimal(38,6)"), 0).try_cast("bigint")
+    return F.coalesce(text.try_cast("bigint"), rounded)
 
 
 def stamp(text: Column, strict: bool = True) -> Column:

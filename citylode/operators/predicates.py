@@ -55,7 +55,10 @@ def in_days(
 def after(df: DataFrame, column: str, mark: dt.date | None) -> DataFrame:
     """Rows strictly after a high-water mark; no mark means from the beginning."""
     mark = mark or EPOCH
-    return in_days(df, column, start=mark).filter(F.col(column) > F.lit(mark))
+    later = F.col(column) > F.lit(mark)
+    if MONTH in df.columns:
+        later = later & date_range(MONTH, mark.replace(day=1))
+    return df.filter(later)
 
 
 def day_slice(df: DataFrame, column: str, day: dt.date | None = None) -> DataFrame:

@@ -20,6 +20,7 @@ CELLS_PER_ZONE = 32
 MAX_BROADCAST_CELLS = 400_000
 MAX_BROADCAST_EDGES = 4_000_000
 SALT = 16
+NOWHERE = -(2 ** 62)
 
 
 @dataclass(frozen=True)
@@ -122,10 +123,13 @@ def spatial_join(
 
     Points outside every zone, or without coordinates, are dropped.
     """
+    # Missing coordinates get a cell far from every zone instead of NULL. A nullable join key would
+    # make Spark add "is not null" tests on the coordinates and push them down to the scan, where
+    # coordinates still are text and would be parsed once more per test.
     placed = points.select(
         "*",
-        F.floor(F.col(x) / index.cell).alias("cell_x"),
-        F.floor(F.col(y) / index.cell).alias("cell_y"),
+        F.coalesce(F.floor(F.col(x) / index.cell), F.lit(NOWHERE)).alias("cell_x"),
+        F.coalesce(F.floor(F.col(y) / index.cell), F.lit(NOWHERE)).alias("cell_y"),
     )
     on, cells = ["cell_x", "cell_y"], index.cells
     if index.broadcast:
