@@ -131,10 +131,10 @@ ORACLES = {
         links as (
             select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b
             where 100 * common >= 80 * (x.n + y.n - common)),
-        reached(doc_id, at) as (
+        reached(doc_id, node) as (
             select doc_id, doc_id from documents
-            union select doc_id, b from reached join links on at = a)
-        select doc_id, coalesce(n, 0) as n_shingles, min(at) as component_id, doc_id = min(at) as kept
+            union select doc_id, b from reached join links on node = a)
+        select doc_id, coalesce(n, 0) as n_shingles, min(node) as component_id, doc_id = min(node) as kept
         from reached left join sizes using (doc_id) group by doc_id, n""",
     "op9_exact_dedup": """
         select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,

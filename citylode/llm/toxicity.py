@@ -22,7 +22,7 @@ from citylode.llm.sums import PARTS, partition_sums
 FIT_ROWS = 60_000
 TERMS = 384
 STEMS = (4, 5)
-RIDGE = 0.5
+RIDGE = 0.1
 SWAP_PENALTY = 1.0
 ROUNDS = 12
 LEAST = 4  # toxic texts that a term needs
