@@ -94,17 +94,23 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return documents(docs).mapInArrow(work, SETS)
 
 
+def buckets_of(signatures: np.ndarray) -> np.ndarray:
+    """The bucket of every band (columns) of every signature (rows)."""
+    rows = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    bucket = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), rows.shape[:2])
+    for r in range(ROWS):
+        bucket = scan.mix(bucket * np.uint64(scan.BASE) + rows[:, :, r])
+    return bucket.view(np.int64)
+
+
 def band_rows(classes: DataFrame) -> DataFrame:
     """(bucket, node) for every band of every class's signature."""
     def work(batches):
         for batch in batches:
-            rows = matrix(batch.column(1)).reshape(batch.num_rows, BANDS, ROWS).astype(np.uint64)
-            bucket = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), rows.shape[:2])
-            for r in range(ROWS):
-                bucket = scan.mix(bucket * np.uint64(scan.BASE) + rows[:, :, r])
+            bucket = buckets_of(matrix(batch.column(1)))
             nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.reshape(-1).view(np.int64)), pa.array(nodes)], ["bucket", "node"])
+                [pa.array(bucket.reshape(-1)), pa.array(nodes)], ["bucket", "node"])
 
     return classes.select("node", "signature").mapInArrow(work, "bucket bigint, node bigint")
 
@@ -157,46 +163,126 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(work, "a bigint, b bigint")
 
 
+PAIRS = "left bigint, right bigint, a array<bigint>, b array<bigint>"
+
+
 def blockwise(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a bucket's members in different components that the posterior does not rule out.
 
-    A bucket is cut into blocks of about BLOCK members; a task compares two blocks.
+    A bucket is cut into blocks of about BLOCK members; a task compares two blocks. A pair that meets in
+    several buckets is compared in the one of its first common band. A row holds all pairs (a, b) that a task
+    leaves between the members of two cells, so pairs are not rows.
     """
     limits = least_matches(threshold)
 
     def work(group: pa.Table) -> pa.Table:
-        node, root, own, i, j = (group.column(k).to_numpy() for k in ("node", "root", "own", "i", "j"))
+        node, root, cell, own, i, j = (group.column(k).to_numpy() for k in ("node", "root", "cell", "own", "i", "j"))
         out_a, out_b = [], []
         if len(np.unique(root)) > 1:
             signatures = matrix(group.column("signature").combine_chunks())
+            buckets = buckets_of(signatures)
+            band = int(np.flatnonzero(buckets[0] == group.column("bucket")[0].as_py())[0])
             right = np.flatnonzero(own == j[0])
             for x in np.flatnonzero(own == i[0]):
                 y = right[(root[right] != root[x]) & ((node[right] > node[x]) | (i[0] != j[0]))]
+                y = y[(buckets[y, :band] != buckets[x, :band]).all(axis=1)]
                 y = y[plausible(np.broadcast_to(signatures[x], (len(y), HASHES)), signatures[y], limits)]
-                out_a.append(np.full(len(y), node[x]))
-                out_b.append(node[y])
+                out_a.append(np.full(len(y), x))
+                out_b.append(y)
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        flip = cell[a] > cell[b]
+        a, b = np.where(flip, b, a), np.where(flip, a, b)
+        order = np.lexsort((cell[b], cell[a]))
+        a, b = a[order], b[order]
+        edges = np.flatnonzero(np.concatenate([
+            [len(a) > 0], (cell[a][1:] != cell[a][:-1]) | (cell[b][1:] != cell[b][:-1])]))
+        ends = pa.array(np.append(edges, len(a)), pa.int32())
+        return pa.table({
+            "left": cell[a[edges]], "right": cell[b[edges]],
+            "a": pa.ListArray.from_arrays(ends, pa.array(node[a])), "b": pa.ListArray.from_arrays(ends, pa.array(node[b]))})
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     cut = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     dealt = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
-        "bucket", "node", "root", "signature", "own",
+        "bucket", "node", "root", "cell", "signature", "own",
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(work, "a bigint, b bigint").distinct()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(work, PAIRS)
 
 
-def verify(
-    spark: SparkSession, pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int,
-) -> DataFrame:
-    """Pairs whose full sets have 100 * intersection >= percent * union. ``pairs`` is stored."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def cells(labels: DataFrame, likely: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, root, cell): cells of about BLOCK nodes that are at home in the same component.
+
+    A node is at home in the smallest component among its own and those of its likely partners, so that nodes
+    which must be verified against each other lie in few cells.
+    """
+    near = likely.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        likely.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    homes = near.join(labels.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(
+        F.min("root").alias("home"))
+    placed = members.select("node").distinct().join(labels, "node", "left").join(homes, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"),
+        F.least(F.coalesce("home", "node"), F.coalesce("root", "node")).alias("home"))
+    sizes = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    return placed.join(sizes, "home").select(
+        "node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "parts")).alias("cell"))
+
+
+def verify_cells(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the stored pairs of cells, as few as join the same nodes.
+
+    A task holds the sets of two cells and counts intersections for all pairs between them.
+    """
+    def work(group: pa.Table, members: pa.Table) -> pa.Table:
+        shingles = members.column("shingles").combine_chunks()
+        ends = np.cumsum([0, *shingles.value_lengths().to_pylist()])
+        _, codes = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
+        at = {n: k for k, n in enumerate(members.column("node").to_pylist())}
+        parent = list(range(len(at)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        a, b = (np.array([at[n] for n in group.column(k).combine_chunks().flatten().to_pylist()], np.int64) for k in "ab")
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        flags, found = np.zeros(len(codes) + 1, bool), []
+        for part in np.split(np.arange(len(a)), np.flatnonzero(np.diff(a)) + 1) if len(a) else []:
+            x = a[part[0]]
+            own = codes[ends[x]:ends[x + 1]]
+            flags[own] = True
+            for y in np.unique(b[part]):
+                common = int(np.count_nonzero(flags[codes[ends[y]:ends[y + 1]]]))
+                size = len(own) + int(ends[y + 1] - ends[y])
+                if 100 * common >= percent * (size - common) and find(x) != find(y):
+                    parent[find(x)] = find(y)
+                    found.append((x, y))
+            flags[own] = False
+        names = members.column("node").to_numpy()
+        links = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": names[links[:, 0]], "b": names[links[:, 1]]})
+
+    wanted = pairs.select(
+        F.col("left").alias("l"), F.col("right").alias("r"), F.explode(F.array_union("a", "b")).alias("node")).distinct()
+    return pairs.groupBy("left", "right").cogroup(wanted.join(sets, "node").groupBy("l", "r")).applyInArrow(work, "a bigint, b bigint")
+
+
+def sets_of(spark: SparkSession, nodes: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of the nodes, stored.
+
+    A class is read from the text that stands for it; repeated rows of that text are the same set.
+    """
     wanted = stored(spark, classes.join(nodes, "node", "left_semi").select("node", "digest", "doc_id"), "wanted")
-    # A class is read from the text that stands for it; repeated rows of that text are the same set.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         small(wanted.select("doc_id")), "doc_id", "left_semi")
-    sets = stored(spark, full_sets(texts, words).join(wanted, ["doc_id", "digest"]).dropDuplicates(
+    return stored(spark, full_sets(texts, words).join(wanted, ["doc_id", "digest"]).dropDuplicates(
         ["node"]).select("node", "shingles"), "sets")
+
+
+def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have 100 * intersection >= percent * union."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -220,18 +306,20 @@ def links(
     used = stored(spark, star.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
     candidates = stored(spark, classes.join(small(used), "node", "left_semi"), "candidates")
     likely = stored(spark, prune(star, candidates, percent / 100), "likely")
-    linked = stored(spark, verify(spark, likely, docs, candidates, words, percent), "linked")
+    ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    linked = stored(spark, verify(likely, sets_of(spark, ends, docs, candidates, words), percent), "linked")
     labels = connected_components(spark, linked)
 
-    labelled = members.filter("n > 2").select("bucket", "node", "n").join(labels, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = stored(spark, cells(labels, likely, members.filter("n > 2")), "cells")
+    labelled = members.filter("n > 2").select("bucket", "node", "n").join(placed, "node")
     mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
     left_over = labelled.join(mixed, "bucket", "left_semi").join(candidates.select("node", "signature"), "node")
-    more = stored(spark, blockwise(left_over, percent / 100).join(likely, ["a", "b"], "left_anti"), "more")
+    more = stored(spark, blockwise(left_over, percent / 100), "more")
     if more.isEmpty():
         return labels
-    found = stored(spark, verify(spark, more, docs, candidates, words, percent), "found")
-    return connected_components(spark, linked.unionByName(found))
+    ends = more.select(F.explode(F.array_union("a", "b")).alias("node")).distinct()
+    found = verify_cells(more, sets_of(spark, ends, docs, candidates, words), percent)
+    return connected_components(spark, linked.unionByName(stored(spark, found, "found")))
 
 
 def near_duplicates(
