@@ -108,7 +108,7 @@ def plan_packing(histogram: dict[int, int], capacities=CAPACITIES, cost=sequence
 
             def per_token(c: int, length=length, todo=todo) -> tuple[float, int]:
                 copies = min(c // length, todo)
-                return cost(c) / (copies * length + min(c - copies * length, left)), -c
+                return cost(c) / (copies * length + min(c - copies * length, left)), c
 
             best = min((c for c in capacities if c >= length), key=per_token)
             bins = -(-todo // (best // length))

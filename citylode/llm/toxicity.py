@@ -42,16 +42,20 @@ SWAPS = {term: group[(k + 1) % len(group)] for group in IDENTITY for k, term in
 WORDS = re.compile(r"[^\W\d_]+").findall
 
 
-def terms_of(text: str | None) -> set[str]:
-    """The distinct words of a text in lower case, and the stems of the longer ones, marked by a dash."""
-    words = set(WORDS(text.lower())) if text else set()
+def words_of(text: str | None) -> set[str]:
+    """The distinct words of a text in lower case."""
+    return set(WORDS(text.lower())) if text else set()
+
+
+def terms_of(words: set[str]) -> set[str]:
+    """Words, and the stems of the longer ones, marked by a dash."""
     return words | {f"{w[:k]}-" for k in STEMS for w in words if len(w) > k}
 
 
-def swapped(terms: set[str]) -> set[str] | None:
-    """The terms after the swap of identity terms; None if there are none."""
-    named = terms & SWAPS.keys()
-    return (terms - named) | {SWAPS[t] for t in named} if named else None
+def swapped(words: set[str]) -> set[str] | None:
+    """The words after the swap of identity terms; None if there are none."""
+    named = words & SWAPS.keys()
+    return (words - named) | {SWAPS[w] for w in named} if named else None
 
 
 @dataclass(frozen=True)
@@ -63,7 +67,7 @@ class Model:
     def score(self, text: str | None) -> float:
         """The probability of a text. Only its words are looked up, and their stems."""
         z, known = self.intercept, self.weights
-        words = set(WORDS(text.lower())) if text else ()
+        words = words_of(text)
         for w in words:
             z += known.get(w, 0.0)
         for k in STEMS:
@@ -78,7 +82,7 @@ def choose_terms(rows: DataFrame, terms: int) -> list[str]:
         toxic, other = Counter(), Counter()
         for batch in batches:
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                (toxic if label else other).update(terms_of(text))
+                (toxic if label else other).update(terms_of(words_of(text)))
             if len(toxic) + len(other) > 300_000:
                 yield counted(toxic, other)
                 toxic, other = Counter(), Counter()
@@ -120,10 +124,10 @@ def fit(spark: SparkSession, rows: DataFrame, terms: int = TERMS, penalty: float
         for batch in batches:
             here, other = [], []
             for text in batch.column("text").to_pylist():
-                terms = terms_of(text)
-                swap = swapped(terms)
-                here.append(sorted(index[t] for t in terms & known))
-                other.append(None if swap is None else sorted(index[t] for t in swap & known))
+                words = words_of(text)
+                swap = swapped(words)
+                here.append(sorted(index[t] for t in terms_of(words) & known))
+                other.append(None if swap is None else sorted(index[t] for t in terms_of(swap) & known))
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(here, kind), pa.array(other, kind), batch.column("label")], ["here", "other", "label"])
