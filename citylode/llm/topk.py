@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-INDEX_ROWS = 16_384
-QUERY_ROWS = 2_048
+INDEX_ROWS = 65_536
+QUERY_ROWS = 1_024
 LARGEST = 1 << 26  # so that a sum over up to 2^10 dimensions fits a long
 
 
