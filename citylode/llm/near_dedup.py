@@ -82,12 +82,12 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
     """The shingle set of every text."""
     def work(batches):
-        for batch in batches:
-            sets = list(shingle_sets(batch.column(1), words))
+        for part in (batch.slice(i, 500) for batch in batches for i in range(0, batch.num_rows, 500)):
+            sets = list(shingle_sets(part.column(1), words))
             ends = np.cumsum([0, *map(len, sets)])
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            flat = np.concatenate(sets).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(digest, sets), pa.binary()),
+                [part.column(0), pa.array(map(digest, sets), pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
                 ["doc_id", "digest", "shingles"])
 

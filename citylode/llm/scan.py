@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-STEP = 1 << 20  # bytes worked on at a time
+STEP = 1 << 19  # bytes worked on at a time
 IS_WORD = np.ones(256, bool)
 IS_WORD[[9, 10, 11, 12, 13, 32]] = False
 LOWER = np.arange(256)
@@ -63,7 +63,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0]:at[-1]], at - at[0]
 
 
-def slices(offsets: np.ndarray, size: int = 4 * STEP) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, size: int = STEP) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about ``size`` bytes, at least one document each."""
     lo, n = 0, len(offsets) - 1
     while lo < n:

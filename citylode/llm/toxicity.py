@@ -20,7 +20,7 @@ from citylode.llm.common import documents, fresh, sampled, stored
 from citylode.llm.sums import PARTS, partition_sums
 
 FIT_ROWS = 60_000
-TERMS = 384
+TERMS = 192
 STEMS = (4, 5)
 RIDGE = 0.1
 SWAP_PENALTY = 1.0
@@ -81,11 +81,11 @@ def choose_terms(rows: DataFrame, terms: int) -> list[str]:
     def work(batches):
         toxic, other = Counter(), Counter()
         for batch in batches:
-            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                (toxic if label else other).update(terms_of(words_of(text)))
-            if len(toxic) + len(other) > 300_000:
-                yield counted(toxic, other)
-                toxic, other = Counter(), Counter()
+            for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+                (toxic if label else other).update(terms_of(words_of(text.as_py())))
+                if len(toxic) + len(other) > 100_000:
+                    yield counted(toxic, other)
+                    toxic, other = Counter(), Counter()
         yield counted(toxic, other)
 
     def counted(toxic: Counter, other: Counter) -> pa.RecordBatch:
@@ -123,8 +123,8 @@ def fit(spark: SparkSession, rows: DataFrame, terms: int = TERMS, penalty: float
         known = index.keys()
         for batch in batches:
             here, other = [], []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
+            for text in batch.column("text"):
+                words = words_of(text.as_py())
                 swap = swapped(words)
                 here.append(sorted(index[t] for t in terms_of(words) & known))
                 other.append(None if swap is None else sorted(index[t] for t in terms_of(swap) & known))
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every whole text."""
     def work(batches):
         for batch in batches:
-            values = [model.score(t) for t in batch.column(1).to_pylist()]
+            values = [model.score(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.float64())], ["doc_id", "score"])
 
     return documents(docs).mapInArrow(work, "doc_id bigint, score double")
