@@ -334,13 +334,13 @@ STATEMENTS: dict[str, str] = {
     "serve_alerts_page": f"""select {ALERT} from m_alerts where date_mesure <= date '1998-01-25' order by date_mesure desc,
         ratio_depassement desc, code_site, polluant, type_seuil, unite_mesure limit 150 offset 75""",
     "serve_all_alerts": f"""select {ALERT} from m_alerts where polluant = 'NO2' order by date_mesure desc,
-        ratio_depassement desc, code_site, polluant, type_seuil, unite_mesure limit 2000""",
+        ratio_depassement desc, code_site, polluant, type_seuil, unite_mesure""",
     "serve_bike": """select * from m_bike where date_jour >= date '1997-01-01' and compteur_id = 'c17'
-        order by date_jour desc, compteur_id limit 100""",
+        order by date_jour desc, compteur_id""",
     "serve_road": f"""select {ROAD} from roads where date_jour <= date '1998-06-30' and arc_id = 'arc3'
         order by date_jour desc, arc_id limit 500""",
     "serve_road_daily_avg": f"""select date_jour, {mean('avg(debit_moyen)')} as debit_moyen from roads
-        where date_jour >= date '1998-01-01' group by date_jour order by date_jour limit 365""",
+        where date_jour >= date '1998-01-01' group by date_jour order by date_jour""",
     "serve_city_kpi": f"select {CITY} from m_city where date_jour <= date '1998-01-20' order by date_jour desc limit 10",
     "serve_zone_kpi": f"""select {ZONE} from m_zone where date_jour >= date '1998-01-01' and arrondissement_code = 14
         order by date_jour desc limit 50""",

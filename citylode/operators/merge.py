@@ -66,10 +66,12 @@ def upsert_table(
         merged = one_row_per_key(source, keys)
     else:
         if partitioned:
+            # Rows without a date have no month; they are a partition like any other.
             first, last = source.agg(F.min(MONTH), F.max(MONTH)).first()
-            touched = source.select(MONTH).distinct()
-            target = target.filter(F.col(MONTH).between(F.lit(first), F.lit(last))).join(
-                touched, MONTH, "left_semi")
+            named = F.lit(False) if first is None else F.col(MONTH).between(F.lit(first), F.lit(last))
+            touched = source.select(F.col(MONTH).alias("touched_month")).distinct()
+            target = target.filter(named | F.col(MONTH).isNull()).join(
+                touched, F.col(MONTH).eqNullSafe(F.col("touched_month")), "left_semi")
         merged = merge_rows(target.select(source.columns), source, keys)
     merged_path = scratch_path(spark, "upsert-merged")
     merged.write.parquet(merged_path)

@@ -69,10 +69,13 @@ def day_slice(df: DataFrame, column: str, day: dt.date | None = None) -> DataFra
     return df.filter((F.col(column) >= begin) & (F.col(column) < end))
 
 
-def latest_available_day(df: DataFrame, column: str, target: dt.date, lookback: int = 3) -> DataFrame:
+def latest_available_day(
+    df: DataFrame, column: str, target: dt.date, lookback: int = 3, required: bool = True,
+) -> DataFrame:
     """Rows of the newest day present among the target and the days just before it.
 
-    The newest day is a scalar subquery over the pruned window. Nothing present gives no rows.
+    The newest day is a scalar subquery over the pruned window. If no day is present, the query fails when
+    it runs, or gives no rows if a day is not ``required``.
     """
     day = F.col(column).cast("date")
     oldest = target - dt.timedelta(days=lookback - 1)
@@ -80,5 +83,9 @@ def latest_available_day(df: DataFrame, column: str, target: dt.date, lookback:
         (F.col(column) >= F.lit(oldest).cast("timestamp_ntz"))
         & (F.col(column) < F.lit(target + dt.timedelta(days=1)).cast("timestamp_ntz"))
     )
-    newest = window.agg(F.max(day).alias("newest")).scalar()
+    found = F.max(day)
+    if required:
+        none = F.raise_error(F.lit(f"no data from {oldest} to {target}")).cast("date")
+        found = F.coalesce(found, none)
+    newest = window.agg(found.alias("newest")).scalar()
     return window.filter(day == newest)

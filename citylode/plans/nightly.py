@@ -104,13 +104,14 @@ class Exported:
 
 def export_marts(
     builders: dict[str, Callable[[dt.date | None], DataFrame]], root: str, marks: Watermarks,
-    run: dt.datetime, lookback_days: int = 0,
+    run: dt.datetime, lookback_days: int = 0, advance: bool = True,
 ) -> dict[str, Exported]:
     """Compute and write every mart's delta once, then advance its own mark.
 
     Each run writes its own folder below the run date, so an empty delta never replaces an earlier
     export of that day. A mark moves only after the mart's write has finished, only if it had rows,
-    and also when another mart failed; the reference table has no mark and is exported in full.
+    and also when another mart failed; the reference table has no mark and is exported in full. Without
+    ``advance`` marks stay, for a caller that moves them when the rows are served.
     """
     before, done = marks.all(), {}
 
@@ -123,17 +124,39 @@ def export_marts(
     try:
         side_by_side({dataset: lambda dataset=dataset: export(dataset) for dataset in builders})
     finally:
-        marks.advance({d: e.last_date for d, e in done.items() if e.rows and d in DATE_COLUMNS})
+        if advance:
+            advance_marks(marks, done)
     return {dataset: done[dataset] for dataset in builders}
 
 
-def load_serving(spark: SparkSession, exported: dict[str, Exported], root: str) -> None:
-    """Upsert the exported rows into the served tables; nothing exported, nothing done."""
+def advance_marks(marks: Watermarks, done: dict[str, Exported]) -> None:
+    marks.advance({d: e.last_date for d, e in done.items() if e.rows and d in DATE_COLUMNS})
+
+
+def load_serving(
+    spark: SparkSession, exported: dict[str, Exported], root: str, marks: Watermarks | None = None,
+) -> None:
+    """Upsert the exported rows into the served tables; nothing exported, nothing done.
+
+    The mark of a dataset moves once its rows are served. After a failed upsert the next run exports the
+    same rows again, and they replace each other by key.
+    """
+    served: dict[str, Exported] = {}
+
     def load(dataset: str, path: str) -> None:
         rows = as_served(read_lowered(spark, path), dataset)
         upsert_table(
             spark, f"{root}/serving/{dataset}", rows, MERGE_KEYS[dataset], DATE_COLUMNS.get(dataset))
+        served[dataset] = exported[dataset]
 
+    try:
+        serve_all(exported, load)
+    finally:
+        if marks is not None:
+            advance_marks(marks, served)
+
+
+def serve_all(exported: dict[str, Exported], load: Callable[[str, str], None]) -> None:
     side_by_side({
         dataset: lambda dataset=dataset, path=export.path: load(dataset, path)
         for dataset, export in exported.items() if export.rows and dataset in MERGE_KEYS})
@@ -148,11 +171,16 @@ def run_day(
     spark: SparkSession, raw: Raw, root: str, run: dt.datetime | None = None, lookback_days: int = 0,
     sites=REGION_SITES,
 ) -> dict[str, Exported]:
-    """The whole daily run. A failed check of severity error stops it before the marts."""
+    """The whole daily run. A failed check of severity error stops it before the marts.
+
+    The report of the checks, warnings included, is stored with the run.
+    """
     run = run or dt.datetime.now(dt.timezone.utc)
     tables = build_silver(spark, raw, root, sites)
-    gate(run_checks(tables, silver_checks(tables)))
-    exported = export_marts(
-        marts(tables), root, Watermarks(spark, f"{root}/watermark"), run, lookback_days)
-    load_serving(spark, exported, root)
+    report_path = f"{root}/checks/run={run:%Y%m%d%H%M%S%f}"
+    run_checks(tables, silver_checks(tables)).write.mode("overwrite").parquet(report_path)
+    gate(spark.read.parquet(report_path))
+    marks = Watermarks(spark, f"{root}/watermark")
+    exported = export_marts(marts(tables), root, marks, run, lookback_days, advance=False)
+    load_serving(spark, exported, root, marks)
     return exported

@@ -1,7 +1,7 @@
 """Parameterised read queries over the served tables.
 
-Every ordering ends with the table's key, so a limited result is the same on every run. An ordered
-limit is planned as a top-k: each task keeps ``limit`` rows.
+Without a limit all rows come back. Every ordering ends with the table's key, so a limited result is the same
+on every run. An ordered limit is planned as a top-k: each task keeps ``limit`` rows.
 """
 
 from __future__ import annotations
@@ -18,26 +18,29 @@ MAX_STATIONS = 1500
 Day = dt.date | None
 
 
-def checked(limit: int, top: int = MAX_LIMIT) -> int:
+def limited(df: DataFrame, limit: int | None, top: int = MAX_LIMIT) -> DataFrame:
+    """The first rows; all of them without a limit."""
+    if limit is None:
+        return df
     if not 1 <= limit <= top:
         raise ValueError(f"limit must be between 1 and {top}")
-    return limit
+    return df.limit(limit)
 
 
 def newest(
-    df: DataFrame, date_column: str, key: list[str], start: Day, end: Day, limit: int, *where: Column | None,
+    df: DataFrame, date_column: str, key: list[str], start: Day, end: Day, limit: int | None, *where: Column | None,
 ) -> DataFrame:
     chosen = in_days(df, date_column, start, end).filter(all_of(*where)).drop(MONTH)
-    return chosen.orderBy(F.col(date_column).desc(), *key).limit(checked(limit))
+    return limited(chosen.orderBy(F.col(date_column).desc(), *key), limit)
 
 
-def city_indicators(kpi: DataFrame, start: Day = None, end: Day = None, limit: int = 100) -> DataFrame:
+def city_indicators(kpi: DataFrame, start: Day = None, end: Day = None, limit: int | None = None) -> DataFrame:
     return newest(kpi, "date_jour", [], start, end, limit)
 
 
 def air_quality(
     air: DataFrame, start: Day = None, end: Day = None, pollutant: str | None = None,
-    site: str | None = None, limit: int = 100,
+    site: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     return newest(
         air, "date_mesure", ["code_site", "polluant", *order_rest(air)], start, end, limit,
@@ -52,13 +55,13 @@ def order_rest(df: DataFrame) -> list[str]:
 
 def alerts(
     table: DataFrame, start: Day = None, end: Day = None, pollutant: str | None = None,
-    limit: int = 100, offset: int = 0,
+    limit: int | None = None, offset: int = 0,
 ) -> DataFrame:
     """A page of alerts: newest first, then by how far the threshold is exceeded."""
     if offset < 0:
         raise ValueError("offset must not be negative")
     chosen = in_days(table, "date_mesure", start, end).filter(all_of(equals("polluant", pollutant))).drop(MONTH)
-    return ranked_alerts(chosen).offset(offset).limit(checked(limit))
+    return limited(ranked_alerts(chosen).offset(offset), limit)
 
 
 def ranked_alerts(table: DataFrame) -> DataFrame:
@@ -67,15 +70,14 @@ def ranked_alerts(table: DataFrame) -> DataFrame:
         "code_site", "polluant", "type_seuil", "unite_mesure")
 
 
-def all_alerts(table: DataFrame, start: Day = None, end: Day = None, pollutant: str | None = None,
-               cap: int = 2000) -> DataFrame:
-    """What a client gets by paging until a cap: one limited query instead."""
+def all_alerts(table: DataFrame, start: Day = None, end: Day = None, pollutant: str | None = None) -> DataFrame:
+    """What a client gets by paging to the end, in one query."""
     chosen = in_days(table, "date_mesure", start, end).filter(all_of(equals("polluant", pollutant))).drop(MONTH)
-    return ranked_alerts(chosen).limit(cap)
+    return ranked_alerts(chosen)
 
 
 def bike_days(
-    bikes: DataFrame, start: Day = None, end: Day = None, counter: str | None = None, limit: int = 100,
+    bikes: DataFrame, start: Day = None, end: Day = None, counter: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     return newest(
         bikes, "date_jour", ["compteur_id", *order_rest(bikes)], start, end, limit,
@@ -83,21 +85,21 @@ def bike_days(
 
 
 def road_days(
-    roads: DataFrame, start: Day = None, end: Day = None, arc: str | None = None, limit: int = 100,
+    roads: DataFrame, start: Day = None, end: Day = None, arc: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     return newest(
         roads, "date_jour", ["arc_id", *order_rest(roads)], start, end, limit,
         equals("arc_id", arc))
 
 
-def road_daily_average(roads: DataFrame, start: Day = None, end: Day = None, limit: int = 365) -> DataFrame:
+def road_daily_average(roads: DataFrame, start: Day = None, end: Day = None, limit: int | None = None) -> DataFrame:
     """Average flow over all arcs per day, oldest first."""
-    return in_days(roads, "date_jour", start, end).groupBy("date_jour").agg(
-        F.avg("debit_moyen").alias("debit_moyen")).orderBy("date_jour").limit(checked(limit))
+    return limited(in_days(roads, "date_jour", start, end).groupBy("date_jour").agg(
+        F.avg("debit_moyen").alias("debit_moyen")).orderBy("date_jour"), limit)
 
 
 def zone_indicators(
-    kpi: DataFrame, start: Day = None, end: Day = None, zone: int | None = None, limit: int = 100,
+    kpi: DataFrame, start: Day = None, end: Day = None, zone: int | None = None, limit: int | None = None,
 ) -> DataFrame:
     return newest(
         kpi, "date_jour", ["arrondissement_code"], start, end, limit,
@@ -108,10 +110,10 @@ def zone_list(reference: DataFrame) -> DataFrame:
     return reference.orderBy("arrondissement_code")
 
 
-def stations(states: DataFrame, area: str | None = None, limit: int = 100) -> DataFrame:
+def stations(states: DataFrame, area: str | None = None, limit: int | None = None) -> DataFrame:
     """Current station states, optionally of one area."""
-    return states.filter(all_of(equals("nom_arrondissement_communes", area))).orderBy(
-        "stationId").limit(checked(limit, MAX_STATIONS))
+    return limited(states.filter(all_of(equals("nom_arrondissement_communes", area))).orderBy(
+        "stationId"), limit, MAX_STATIONS)
 
 
 def station(states: DataFrame, station_id: str) -> DataFrame:

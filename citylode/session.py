@@ -31,10 +31,12 @@ def build_session(app: str = "citylode", master: str | None = None, **conf) -> S
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
-    Every executor can reach that folder. Only when the setting is absent (local tests) does a
-    temporary folder of this machine take its place.
+    Every executor can reach that folder. Only on a local master does a temporary folder of this machine
+    take its place when the setting is absent; elsewhere that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = os.path.join(tempfile.gettempdir(), "citylode-scratch")
     return f"{shared.rstrip('/')}/citylode/{name}-{uuid.uuid4().hex}"

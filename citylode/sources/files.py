@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from citylode.functions.casts import load_stamp
 from citylode.schemas import STATION_RECORD, text_schema
+from citylode.sources.landing import run_stamp
 
 CORRUPT = "_corrupt_record"
 
@@ -20,17 +21,23 @@ def delimited_options() -> dict[str, str]:
         "sep": ";", "quote": '"', "escape": '"', "header": "true", "enforceSchema": "true",
         "nullValue": NO_NULL_TEXT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
         "encoding": "UTF-8",
+        # A row's fields are only counted if all columns are parsed.
+        "columnPruning": "false",
     }
 
 
-def with_lineage(df: DataFrame, loaded_at: str = "batch") -> DataFrame:
+def with_lineage(df: DataFrame, loaded_at: str = "run") -> DataFrame:
     """Add the source file and the load time.
 
-    ``batch`` stamps the time of the running query, so a run of many files loaded together counts as
-    one load. ``arrival`` stamps each file with its own modification time, so that several runs
-    caught up in one batch (one file per run and source) stay apart.
+    ``run`` stamps the run written in a landing path, the same for all files of a run, so that of a day
+    loaded twice the last run is known; a file outside the landing layout gets its modification time.
+    ``arrival`` always takes that time: only for runs of one file each. ``batch`` takes the time of the
+    running query: only for files of a single run.
     """
-    stamps = {"batch": load_stamp(), "arrival": F.col("_metadata.file_modification_time").cast("timestamp_ntz")}
+    arrival = F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+    stamps = {
+        "run": F.coalesce(run_stamp(F.col("_metadata.file_path")), arrival), "arrival": arrival,
+        "batch": load_stamp()}
     return df.select(
         "*", F.col("_metadata.file_path").alias("_file_name"), stamps[loaded_at].alias("_loaded_at"))
 
@@ -40,7 +47,7 @@ def corruptible(columns: list[str]) -> StructType:
 
 
 def read_delimited(
-    spark: SparkSession, path: str | list[str], columns: list[str], loaded_at: str = "batch",
+    spark: SparkSession, path: str | list[str], columns: list[str], loaded_at: str = "run",
 ) -> DataFrame:
     """Semicolon files with one header line, columns by position, all text, plus lineage.
 
@@ -67,7 +74,7 @@ def split_corrupt(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_stations(
-    spark: SparkSession, path: str | list[str], loaded_at: str = "batch", array_files: bool = True,
+    spark: SparkSession, path: str | list[str], loaded_at: str = "run", array_files: bool = True,
 ) -> DataFrame:
     """Station records from files holding one JSON array each (or, splittable, one array per line)."""
     scan = spark.read.schema(STATION_RECORD).option("multiLine", array_files).json(path)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from citylode.schemas import STATION_STATE
+from citylode.sources.files import CORRUPT
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
@@ -25,9 +29,16 @@ def read_message_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Message fields and position; undecodable text is kept in ``bad_message`` instead."""
-    parsed = messages.select(
-        "*", F.from_json("value", STATION_STATE).alias("state_"),
-        F.try_parse_json("value").isNull().alias("broken_"))
+    """Message fields and position; a message that is no object of the expected types is in ``bad_message``.
+
+    One parse per message: what does not fit is left in the corrupt-record field.
+    """
+    schema = StructType([*STATION_STATE.fields, StructField(CORRUPT, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = messages.select("*", F.from_json("value", schema, options).alias("state_"))
+    state, bad = F.col("state_"), F.col(f"state_.{CORRUPT}").isNotNull()
+    empty = reduce(lambda a, b: a & b, [state[f.name].isNull() for f in STATION_STATE.fields])
+    bad = state.isNull() | bad | (empty & ~F.trim("value").startswith("{"))
     return parsed.select(
-        "state_.*", "position", F.when(F.col("broken_"), F.col("value")).alias("bad_message"))
+        *[F.when(~bad, state[f.name]).alias(f.name) for f in STATION_STATE.fields], "position",
+        F.when(bad, F.coalesce("value", F.lit(""))).alias("bad_message"))

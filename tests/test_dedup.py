@@ -29,11 +29,17 @@ def test_last_load_does_not_move_the_wide_table(spark, tmp_path):
     path = str(tmp_path / "wide")
     loads(spark, [("a", D, AT9)]).write.parquet(path)
     plan = plan_of(keep_last_load(spark.read.parquet(path), F.col("day")))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert plan.count("Exchange hashpartitioning") == 1  # the per-day maximum only
     assert "SortMergeJoin" not in plan and "Window" not in plan
 
 
+def test_days_beyond_the_calendar_stay(spark):
+    df = loads(spark, [("a", D, AT9), ("b", D, AT10)]).unionByName(spark.sql(
+        "select 'c' k, date '+12345-01-01' day, timestamp_ntz '2026-01-01 09:00:00' _loaded_at"))
+    assert {r["k"] for r in keep_last_load(df, F.col("day")).select("k").collect()} == {"b", "c"}
+
+
 def test_latest_row_prunes_before_the_shuffle(spark):
     df = loads(spark, [("a", D, AT9), ("a", E, AT10), ("b", D, None), ("b", E, AT10)])
     latest = keep_latest_row(df, ["k"], [newest_first("_loaded_at"), F.col("day")])

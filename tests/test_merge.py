@@ -132,3 +132,12 @@ def test_a_version_counts_only_once_noted(spark, tmp_path):
 def test_scratch_folder_is_the_session_s(spark):
     from citylode.session import scratch_path
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/citylode/x-")
+
+
+def test_stored_rows_without_a_date_survive(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for key in ("a", "c"):
+        upsert_table(spark, path, spark.createDataFrame([(key, None)], "k string, d date"), ["k", "d"], "d")
+    upsert_table(spark, path, spark.createDataFrame([("e", dt.date(2026, 1, 5))], "k string, d date"), ["k", "d"], "d")
+    assert {(r["k"], r["d"]) for r in spark.read.parquet(path).collect()} == {
+        ("a", None), ("c", None), ("e", dt.date(2026, 1, 5))}

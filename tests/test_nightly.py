@@ -107,3 +107,22 @@ def test_a_failed_mart_does_not_hold_back_the_others(spark, tmp_path):
         nightly.export_marts(
             {"dm_velo_daily": lambda since: day, "dm_zone_kpi_daily": broken}, str(tmp_path), marks, AT)
     assert marks.all() == {"dm_velo_daily": dt.date(2026, 6, 8)}
+
+
+def test_rows_lost_before_serving_are_exported_again(spark, tmp_path, monkeypatch):
+    root, tables = str(tmp_path), raw(spark, [measure()], [bike()], [road()])
+    upsert = nightly.upsert_table
+
+    def fail(session, path, *args):
+        if path.endswith("dm_velo_daily"):
+            raise OSError("lost")
+        upsert(session, path, *args)
+
+    monkeypatch.setattr(nightly, "upsert_table", fail)
+    with pytest.raises(OSError, match="lost"):
+        nightly.run_day(spark, tables, root, dt.datetime(2026, 6, 9, 6), sites=["S1"])
+    monkeypatch.undo()
+    again = nightly.run_day(spark, tables, root, dt.datetime(2026, 6, 9, 7), sites=["S1"])
+    assert counts(again)["dm_velo_daily"] == 1 and counts(again)["dm_trafic_routier_daily"] == 0
+    assert spark.read.parquet(f"{root}/serving/dm_velo_daily").count() == 1
+    assert spark.read.parquet(f"{root}/checks").filter("table_name is not null").count() > 0

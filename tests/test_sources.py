@@ -1,10 +1,12 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from citylode.operators.dedup import keep_last_load
 from citylode.operators.predicates import all_of, date_range, day_slice, equals, latest_available_day
 from citylode.plans import silver
 from citylode.schemas import SITE_COLUMNS
@@ -96,7 +98,9 @@ def test_latest_available_day_looks_back_three_days(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 6, d, 5),) for d in (4, 5, 6, 6)], "ts timestamp_ntz")
     assert latest_available_day(df, "ts", dt.date(2026, 6, 8)).count() == 2
     assert latest_available_day(df, "ts", dt.date(2026, 6, 5)).count() == 1
-    assert latest_available_day(df, "ts", dt.date(2026, 6, 9)).count() == 0
+    assert latest_available_day(df, "ts", dt.date(2026, 6, 9), required=False).count() == 0
+    with pytest.raises(Exception, match="no data from 2026-06-07 to 2026-06-09"):
+        latest_available_day(df, "ts", dt.date(2026, 6, 9)).count()
 
 
 def test_exports(spark, tmp_path):
@@ -116,3 +120,24 @@ def test_exports(spark, tmp_path):
 def test_unknown_load_stamp(spark, tmp_path):
     with pytest.raises(KeyError):
         files.read_delimited(spark, write(tmp_path / "a.csv", "h\n"), ["c"], "guess")
+
+
+def test_malformed_rows_stay_out_of_pruned_queries(spark, tmp_path):
+    path = write(tmp_path / "p.csv", "h\nA;1;2;3\nB;1\nC;1;2;3;4;5\n".replace("A;1;2;3", ";".join("A123")))
+    columns = ["code", "x", "y", "z"]
+    good, bad = files.split_corrupt(files.read_delimited(spark, path, columns))
+    assert good.count() == 1 and bad.count() == 2
+    assert [r["code"] for r in good.select("code", "x").collect()] == ["A"]
+    assert good.groupBy("x").count().collect() == [("1", 1)]
+
+
+def test_a_day_loaded_twice_counts_once(spark, tmp_path):
+    day = dt.date(2026, 6, 1)
+    for hour, value in ((8, "1"), (9, "2")):
+        folder = Path(landing.landing_path(str(tmp_path), "s", day, dt.datetime(2026, 6, 2, hour, 0)))
+        folder.mkdir(parents=True)
+        for part in ("a", "b"):
+            (folder / f"{part}.csv").write_text(f"h\n2026-06-01;{part};{value}\n")
+    good, _ = files.split_corrupt(files.read_delimited(spark, landing.all_runs(str(tmp_path), "s"), ["day", "k", "v"]))
+    last = keep_last_load(good, F.col("day").cast("date"))
+    assert sorted((r["k"], r["v"]) for r in last.collect()) == [("a", "2"), ("b", "2")]

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from citylode.operators.spatial import CELLS_PER_ZONE, index_zones, plan_grid, spatial_join, with_edges
+from citylode.operators.spatial import MOST_SPLITS, index_zones, spatial_join
 
 
 def polygon(*rings):
@@ -69,14 +69,27 @@ def test_other_geometries_and_empty_zone_tables(spark):
 def test_cell_count_is_bounded_for_mixed_sizes(spark):
     shapes = [polygon(box(0, 0, 1000, 800))] + [polygon(diamond(i + .5, .5, .01)) for i in range(40)]
     index = index_zones(zones(spark, *shapes))
-    assert index.cells.count() <= CELLS_PER_ZONE * len(shapes)
+    assert index.cells.count() <= (MOST_SPLITS + 2) ** 2 * len(shapes)
     assert index.broadcast
 
 
 def test_many_zones_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr("citylode.operators.spatial.MAX_BROADCAST_CELLS", 10)
-    shaped = with_edges(zones(spark, polygon(box(0, 0, 1, 1))))
-    assert not plan_grid(shaped).broadcast
+    assert not index_zones(zones(spark, polygon(box(0, 0, 1, 1)))).broadcast
+
+
+def test_one_large_zone_of_many_edges_among_many_small_ones(spark):
+    """The cells of the large zone do not depend on how many small ones there are."""
+    n = 8_000
+    ring = [(50 + 60 * math.cos(2 * math.pi * k / n), 20 + 60 * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    small = [polygon(diamond(i % 100 + .5, i // 100 + .5, .01)) for i in range(2_000)]
+    index = index_zones(zones(spark, polygon(ring + ring[:1]), *small))
+    assert index.cells.filter("arrondissement_code = 0").count() <= (MOST_SPLITS + 2) ** 2
+    places = [(50, 20), (50, 79.9), (50, 80.1), (.5, .5), (99.5, 19.5)]
+    got = {}
+    for r in spatial_join(points(spark, places), index).collect():
+        got.setdefault(r["id"], set()).add(r["arrondissement_code"])
+    assert got == {0: {0}, 1: {0}, 3: {0, 1}, 4: {0, 2000}}
 
 
 def test_broadcast_keeps_points_in_place(spark, tmp_path):
@@ -137,10 +150,7 @@ def test_shuffle_path_keeps_every_copy_of_a_hot_point(spark):
     many = spark.range(9_000).select(
         F.col("id"), F.lit(.5).alias("longitude"), F.lit(.5).alias("latitude"))
     index = index_zones(zones(spark, polygon(box(0, 0, 1, 1))), strategy="shuffle")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = spatial_join(many, index)
-        assert "SortMergeJoin" in plan_of(joined)
-        assert joined.count() == joined.select("id").distinct().count() == 9_000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = spatial_join(many, index)
+    plan = plan_of(joined)
+    assert "Exchange hashpartitioning" in plan and "Broadcast" not in plan
+    assert joined.count() == joined.select("id").distinct().count() == 9_000

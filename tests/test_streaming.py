@@ -91,3 +91,11 @@ def test_topic_scan_needs_its_connector(spark):
             raise
         pytest.skip("Kafka connector absent")
     assert stream.columns == ["value", "position"] and stream.isStreaming
+
+
+def test_messages_that_are_no_states_are_kept_apart(spark):
+    texts = ["[1,2]", "5", "null", "not json", '{"stationId":"2","num_bikes_available":"x"}', None, message("s", "T1", 1)]
+    got = decode(spark.createDataFrame([(t, float(i)) for i, t in enumerate(texts)], "value string, position double"))
+    states = {r["position"]: (r["bad_message"], r["stationId"]) for r in got.collect()}
+    assert [i for i, (bad, _) in states.items() if bad is None] == [6.0] and states[6.0][1] == "s"
+    assert all(station is None for bad, station in states.values() if bad is not None)
