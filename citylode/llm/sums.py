@@ -35,27 +35,25 @@ def partition_sums(rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.
     return total
 
 
-def table_sums(rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.ndarray]]) -> list[np.ndarray] | None:
+def table_sums(
+    rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.ndarray]], shapes: list[tuple[int, ...]],
+) -> list[np.ndarray] | None:
     """The same for few numbers and tables of any size: each task sums where its rows are, Spark sums the rest."""
     def work(batches):
         total = None
         for batch in batches:
             if batch.num_rows:
-                made = [np.asarray(x, np.float64) for x in add(batch)]
-                total = made if total is None else [t + m for t, m in zip(total, made, strict=True)]
+                made = np.concatenate([np.asarray(x, np.float64).reshape(-1) for x in add(batch)])
+                total = made if total is None else total + made
         if total is not None:
-            yield pa.RecordBatch.from_arrays([
-                pa.array([np.concatenate([x.reshape(-1) for x in total])], pa.list_(pa.float64())),
-                pa.array([[list(x.shape) for x in total]], pa.list_(pa.list_(pa.int64())))], ["sums", "shapes"])
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
 
-    parts = rows.mapInArrow(work, "sums array<double>, shapes array<array<bigint>>")
-    each = parts.select(F.posexplode("sums").alias("k", "x"), "shapes")
-    found = sorted(each.groupBy("k").agg(F.sum("x"), F.first("shapes")).collect())
+    each = rows.mapInArrow(work, "sums array<double>").select(F.posexplode("sums").alias("k", "x"))
+    found = sorted(each.groupBy("k").agg(F.sum("x")).collect())
     if not found:
         return None
-    shapes, flat = found[0][2], np.array([r[1] for r in found])
     ends = np.cumsum([int(np.prod(s)) for s in shapes])
-    return [x.reshape(s) for x, s in zip(np.split(flat, ends[:-1]), shapes, strict=True)]
+    return [x.reshape(s) for x, s in zip(np.split(np.array([r[1] for r in found]), ends[:-1]), shapes, strict=True)]
 
 
 def doubles(column: pa.Array) -> np.ndarray:
