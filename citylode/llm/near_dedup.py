@@ -6,8 +6,9 @@ soon as the posterior probability that its similarity reaches the threshold is b
 What is left is verified on the full shingle sets.
 
 Inside a bucket not all pairs are made. Every member is compared with two of them first; links found so
-join components. Only buckets whose members are then in different components need more, and there members
-of different components are compared in blocks, inside tasks, so that no link between components is lost.
+join components. Only buckets whose members are then in different components need more. There the members
+outside the bucket's largest component meet further members in a few turns, and those still outside are
+compared with all of other components in blocks, inside tasks, so that no link between components is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ BANDS, ROWS = 32, 5  # at similarity 0.8 a pair shares no band once in 300,000
 HASHES = BANDS * ROWS
 BATCH = 32
 MISS = 1e-7
-BLOCK = 256
+BLOCK = 1024  # members of a bucket compared in one task with as many others
+CELL = 256  # nodes whose full sets are held in one task with as many others
+TURNS = 2  # further hubs before members are compared in blocks
 RNG = np.random.default_rng(20)
 XOR = RNG.integers(1 << 32, size=HASHES, dtype=np.uint32)[:, None]
 TIMES = (RNG.integers(1 << 31, size=HASHES, dtype=np.uint32) * 2 + 1).astype(np.uint32)[:, None]
@@ -169,9 +172,10 @@ PAIRS = "left bigint, right bigint, a array<bigint>, b array<bigint>"
 def blockwise(members: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a bucket's members in different components that the posterior does not rule out.
 
-    A bucket is cut into blocks of about BLOCK members; a task compares two blocks. A pair that meets in
-    several buckets is compared in the one of its first common band. A row holds all pairs (a, b) that a task
-    leaves between the members of two cells, so pairs are not rows.
+    A bucket is cut into blocks of about BLOCK members, the largest component apart from the rest; a task
+    compares two blocks, never two of the largest component. A pair that meets in several buckets is compared
+    in the one of its first common band. A row holds all pairs (a, b) that a task leaves between the members
+    of two cells, so pairs are not rows.
     """
     limits = least_matches(threshold)
 
@@ -201,16 +205,21 @@ def blockwise(members: DataFrame, threshold: float) -> DataFrame:
             "left": cell[a[edges]], "right": cell[b[edges]],
             "a": pa.ListArray.from_arrays(ends, pa.array(node[a])), "b": pa.ListArray.from_arrays(ends, pa.array(node[b]))})
 
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    cut = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    dealt = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+    sizes = members.groupBy("bucket").agg(
+        F.ceil(F.count_if(~F.col("rest")) / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil(F.count_if("rest") / BLOCK).cast("int").alias("rest_blocks"))
+    draw, end = F.xxhash64("node"), F.col("main_blocks") + F.col("rest_blocks") - 1
+    own = F.when(F.col("rest"), F.col("main_blocks") + F.pmod(draw, "rest_blocks")).otherwise(F.pmod(draw, "main_blocks"))
+    others = F.sequence(F.when(F.col("rest"), 0).otherwise(F.col("main_blocks")), end)
+    dealt = members.join(sizes, "bucket").withColumn("own", own.cast("int")).select(
+        "*", F.explode(others).alias("other")).select(
         "bucket", "node", "root", "cell", "signature", "own",
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     return dealt.groupBy("bucket", "i", "j").applyInArrow(work, PAIRS)
 
 
 def cells(labels: DataFrame, likely: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, root, cell): cells of about BLOCK nodes that are at home in the same component.
+    """(node, root, cell): cells of about CELL nodes that are at home in the same component.
 
     A node is at home in the smallest component among its own and those of its likely partners, so that nodes
     which must be verified against each other lie in few cells.
@@ -222,7 +231,7 @@ def cells(labels: DataFrame, likely: DataFrame, members: DataFrame) -> DataFrame
     placed = members.select("node").distinct().join(labels, "node", "left").join(homes, "node", "left").select(
         "node", F.coalesce("root", "node").alias("root"),
         F.least(F.coalesce("home", "node"), F.coalesce("root", "node")).alias("home"))
-    sizes = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    sizes = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("parts"))
     return placed.join(sizes, "home").select(
         "node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "parts")).alias("cell"))
 
@@ -254,9 +263,11 @@ def verify_cells(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             own = codes[ends[x]:ends[x + 1]]
             flags[own] = True
             for y in np.unique(b[part]):
+                if find(x) == find(y):
+                    continue
                 common = int(np.count_nonzero(flags[codes[ends[y]:ends[y + 1]]]))
                 size = len(own) + int(ends[y + 1] - ends[y])
-                if 100 * common >= percent * (size - common) and find(x) != find(y):
+                if 100 * common >= percent * (size - common):
                     parent[find(x)] = find(y)
                     found.append((x, y))
             flags[own] = False
@@ -290,6 +301,33 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common"))).select("a", "b")
 
 
+def mixed_members(spark: SparkSession, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, root, rest) of the buckets that hold several components, stored.
+
+    ``rest`` is false for the members of a bucket's largest component.
+    """
+    labelled = members.select("bucket", "node").join(labels, "node", "left").select(
+        "bucket", "node", F.coalesce("root", "node").alias("root"))
+    sizes = labelled.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max_by("root", "size").alias("main"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    return stored(spark, labelled.join(largest, "bucket").select(
+        "bucket", "node", "root", (F.col("root") != F.col("main")).alias("rest")), "mixed")
+
+
+def hub_pairs(mixed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): the rest of every bucket with one member of its largest component and one of the rest.
+
+    The two are drawn for each bucket and turn, so a node meets others in each of its buckets.
+    """
+    lot = F.xxhash64("node", "bucket", F.lit(turn))
+    hubs = mixed.groupBy("bucket").agg(
+        F.min_by("node", F.when(~F.col("rest"), lot)).alias("first"),
+        F.min_by("node", F.when(F.col("rest"), lot)).alias("last"))
+    return mixed.filter("rest").join(hubs, "bucket").select("node", F.explode(F.array("first", "last")).alias("hub")).filter(
+        "node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def links(
     spark: SparkSession, docs: DataFrame, classes: DataFrame, words: int, percent: int,
 ) -> DataFrame | None:
@@ -305,15 +343,28 @@ def links(
         return None
     used = stored(spark, star.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "used")
     candidates = stored(spark, classes.join(small(used), "node", "left_semi"), "candidates")
-    likely = stored(spark, prune(star, candidates, percent / 100), "likely")
-    ends = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    linked = stored(spark, verify(likely, sets_of(spark, ends, docs, candidates, words), percent), "linked")
-    labels = connected_components(spark, linked)
 
-    placed = stored(spark, cells(labels, likely, members.filter("n > 2")), "cells")
-    labelled = members.filter("n > 2").select("bucket", "node", "n").join(placed, "node")
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    left_over = labelled.join(mixed, "bucket", "left_semi").join(candidates.select("node", "signature"), "node")
+    def confirmed(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The pairs that the posterior leaves, and those of them that are links."""
+        left = stored(spark, prune(pairs, candidates, percent / 100), "likely")
+        ends = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = sets_of(spark, ends, docs, candidates, words)
+        return left, stored(spark, verify(left, sets, percent), "linked")
+
+    likely, linked = confirmed(star)
+    labels = connected_components(spark, linked)
+    # The first two hubs settle buckets of up to three members.
+    mixed = mixed_members(spark, members.filter("n > 3"), labels)
+    for turn in range(TURNS):
+        if mixed.isEmpty():
+            return labels
+        more_likely, more_linked = confirmed(stored(spark, hub_pairs(mixed, turn), "hubs"))
+        likely, linked = likely.unionByName(more_likely), linked.unionByName(more_linked)
+        labels = connected_components(spark, linked)
+        mixed = mixed_members(spark, mixed, labels)
+
+    placed = stored(spark, cells(labels, likely, mixed), "cells")
+    left_over = mixed.drop("root").join(placed, "node").join(candidates.select("node", "signature"), "node")
     more = stored(spark, blockwise(left_over, percent / 100), "more")
     if more.isEmpty():
         return labels
