@@ -107,9 +107,12 @@ def test_near_against_brute_force(spark, k):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute_near(rows, k)
 
 
-def test_near_large_group_in_blocks(spark, monkeypatch):
-    # No link to the two members that all are compared with first, so that blocks must find all links.
+@pytest.mark.parametrize("turns", [0, 2])
+def test_near_large_group_in_blocks(spark, monkeypatch, turns):
+    # Without further turns blocks must find all links that the first two hubs leave.
+    monkeypatch.setattr(near_dedup, "TURNS", turns)
     monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "CELL", 16)
     rows = corpus(8, 500, families=2)
     got = near_duplicates(spark, frame(spark, rows), words=2).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == brute_near(rows, 2)
