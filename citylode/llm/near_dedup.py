@@ -31,7 +31,9 @@ HASHES = BANDS * ROWS
 BATCH = 32
 MISS = 1e-7
 BLOCK = 1024  # members of a bucket compared in one task with as many others
-CELL = 256  # nodes whose full sets are held in one task with as many others
+CELL = 1024  # nodes whose full sets are held in one task with as many others
+CELL_SHINGLES = 1 << 21  # shingles of a cell, if its sets are large
+ROW_PAIRS = 1 << 16  # pairs of nodes in one row
 TURNS = 2  # further hubs before members are compared in blocks
 RNG = np.random.default_rng(20)
 XOR = RNG.integers(1 << 32, size=HASHES, dtype=np.uint32)[:, None]
@@ -175,7 +177,7 @@ def blockwise(members: DataFrame, threshold: float) -> DataFrame:
     A bucket is cut into blocks of about BLOCK members, the largest component apart from the rest; a task
     compares two blocks, never two of the largest component. A pair that meets in several buckets is compared
     in the one of its first common band. A row holds all pairs (a, b) that a task leaves between the members
-    of two cells, so pairs are not rows.
+    of two cells, ROW_PAIRS at most, so pairs are not rows.
     """
     limits = least_matches(threshold)
 
@@ -198,8 +200,9 @@ def blockwise(members: DataFrame, threshold: float) -> DataFrame:
         a, b = np.where(flip, b, a), np.where(flip, a, b)
         order = np.lexsort((cell[b], cell[a]))
         a, b = a[order], b[order]
-        edges = np.flatnonzero(np.concatenate([
-            [len(a) > 0], (cell[a][1:] != cell[a][:-1]) | (cell[b][1:] != cell[b][:-1])]))
+        cut = np.arange(len(a)) % ROW_PAIRS == 0
+        cut[1:] |= (cell[a][1:] != cell[a][:-1]) | (cell[b][1:] != cell[b][:-1])
+        edges = np.flatnonzero(cut)
         ends = pa.array(np.append(edges, len(a)), pa.int32())
         return pa.table({
             "left": cell[a[edges]], "right": cell[b[edges]],
@@ -218,9 +221,11 @@ def blockwise(members: DataFrame, threshold: float) -> DataFrame:
     return dealt.groupBy("bucket", "i", "j").applyInArrow(work, PAIRS)
 
 
-def cells(labels: DataFrame, likely: DataFrame, members: DataFrame) -> DataFrame:
+def cells(labels: DataFrame, likely: DataFrame, members: DataFrame, weights: DataFrame) -> DataFrame:
     """(node, root, cell): cells of about CELL nodes that are at home in the same component.
 
+    ``weights`` gives (node, n_shingles); a cell holds fewer nodes if their sets pass CELL_SHINGLES together.
+
     A node is at home in the smallest component among its own and those of its likely partners, so that nodes
     which must be verified against each other lie in few cells.
     """
@@ -228,18 +233,26 @@ def cells(labels: DataFrame, likely: DataFrame, members: DataFrame) -> DataFrame
         likely.select(F.col("b").alias("node"), F.col("a").alias("other")))
     homes = near.join(labels.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(
         F.min("root").alias("home"))
-    placed = members.select("node").distinct().join(labels, "node", "left").join(homes, "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"),
+    placed = members.select("node").distinct().join(weights, "node").join(labels, "node", "left").join(homes, "node", "left").select(
+        "node", "n_shingles", F.coalesce("root", "node").alias("root"),
         F.least(F.coalesce("home", "node"), F.coalesce("root", "node")).alias("home"))
-    sizes = placed.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("parts"))
+    sizes = placed.groupBy("home").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / CELL, F.sum("n_shingles") / CELL_SHINGLES)).alias("parts"))
     return placed.join(sizes, "home").select(
         "node", "root", F.xxhash64("home", F.pmod(F.xxhash64("node"), "parts")).alias("cell"))
 
 
-def verify_cells(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def cell_nodes(pairs: DataFrame) -> DataFrame:
+    """(l, r, node): the nodes whose sets each pair of cells needs, each once."""
+    return pairs.groupBy(F.col("left").alias("l"), F.col("right").alias("r")).agg(
+        F.array_distinct(F.flatten(F.collect_list(F.array_union("a", "b")))).alias("nodes")).select(
+        "l", "r", F.explode("nodes").alias("node"))
+
+
+def verify_cells(pairs: DataFrame, wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) among the stored pairs of cells, as few as join the same nodes.
 
-    A task holds the sets of two cells and counts intersections for all pairs between them.
+    ``wanted`` holds the nodes of each pair of cells, see ``cell_nodes``. A task holds the sets of two cells and counts intersections for all pairs between them.
     """
     def work(group: pa.Table, members: pa.Table) -> pa.Table:
         shingles = members.column("shingles").combine_chunks()
@@ -275,8 +288,6 @@ def verify_cells(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": names[links[:, 0]], "b": names[links[:, 1]]})
 
-    wanted = pairs.select(
-        F.col("left").alias("l"), F.col("right").alias("r"), F.explode(F.array_union("a", "b")).alias("node")).distinct()
     return pairs.groupBy("left", "right").cogroup(wanted.join(sets, "node").groupBy("l", "r")).applyInArrow(work, "a bigint, b bigint")
 
 
@@ -363,13 +374,14 @@ def links(
         labels = connected_components(spark, linked)
         mixed = mixed_members(spark, mixed, labels)
 
-    placed = stored(spark, cells(labels, likely, mixed), "cells")
+    placed = stored(spark, cells(labels, likely, mixed, candidates.select("node", "n_shingles")), "cells")
     left_over = mixed.drop("root").join(placed, "node").join(candidates.select("node", "signature"), "node")
     more = stored(spark, blockwise(left_over, percent / 100), "more")
     if more.isEmpty():
         return labels
-    ends = more.select(F.explode(F.array_union("a", "b")).alias("node")).distinct()
-    found = verify_cells(more, sets_of(spark, ends, docs, candidates, words), percent)
+    needed = stored(spark, cell_nodes(more), "needed")
+    sets = sets_of(spark, needed.select("node").distinct(), docs, candidates, words)
+    found = verify_cells(more, needed, sets, percent)
     return connected_components(spark, linked.unionByName(stored(spark, found, "found")))
 
 
@@ -387,7 +399,8 @@ def near_duplicates(
     """
     base = stored(spark, sketches(docs, words), "sketches")
     classes = stored(spark, base.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.any_value("signature").alias("signature")).withColumn(
+        F.min("doc_id").alias("doc_id"), F.any_value("signature").alias("signature"),
+        F.any_value("n_shingles").alias("n_shingles")).withColumn(
         "node", F.monotonically_increasing_id()), "classes")
     labels = links(spark, docs, classes, words, percent)
     named = classes.select("digest", "node", "doc_id")
