@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PARTS = 16  # partial sums that reach the driver of a fit
+PIECE = 1 << 14  # numbers added up in one row
 
 
 def partition_sums(rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.ndarray]]) -> list[np.ndarray] | None:
@@ -35,6 +36,47 @@ def partition_sums(rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.
     return total
 
 
+def merged_sums(rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.ndarray]]) -> list[np.ndarray] | None:
+    """The same for large matrices: Spark adds up the partitions' sums, piece by piece, and the driver receives one."""
+    kind = "k int, sums binary, shapes array<array<bigint>>"
+
+    def send(pieces):
+        for k, (x, shapes) in pieces:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([k], pa.int32()), pa.array([x.tobytes()], pa.binary()),
+                pa.array([shapes], pa.list_(pa.list_(pa.int64())))], ["k", "sums", "shapes"])
+
+    def work(batches):
+        total, shapes = None, None
+        for batch in batches:
+            if batch.num_rows:
+                made = [np.asarray(x, np.float64) for x in add(batch)]
+                shapes = [list(x.shape) for x in made]
+                if total is None:
+                    total = np.zeros(sum(x.size for x in made))
+                at = 0
+                for x in made:
+                    total[at:at + x.size] += x.reshape(-1)
+                    at += x.size
+        if total is not None:
+            yield from send((at // PIECE, (total[at:at + PIECE], shapes)) for at in range(0, len(total), PIECE))
+
+    def merge(batches):
+        found: dict[int, tuple[np.ndarray, list[list[int]]]] = {}
+        for batch in batches:
+            for k, x, shapes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found[k] = (np.frombuffer(x) + found[k][0] if k in found else np.frombuffer(x), shapes)
+        yield from send(found.items())
+
+    parts = rows.repartition(PARTS).mapInArrow(work, kind).repartition(PARTS, "k").mapInArrow(merge, kind).collect()
+    if not parts:
+        return None
+    whole = np.concatenate([np.frombuffer(bytes(r.sums)) for r in sorted(parts, key=lambda r: r.k)])
+    shapes = parts[0].shapes
+    ends = np.cumsum([int(np.prod(s)) for s in shapes])
+    return [x.reshape(s) for x, s in zip(np.split(whole, ends[:-1]), shapes, strict=True)]
+
+
 def table_sums(
     rows: DataFrame, add: Callable[[pa.RecordBatch], Iterable[np.ndarray]], shapes: list[tuple[int, ...]],
 ) -> list[np.ndarray] | None:

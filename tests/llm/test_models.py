@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from citylode.llm import mixing, quality, scan, toxicity
+from citylode.llm import mixing, quality, scan, sums, toxicity
 
 DOCS = "doc_id bigint, text string, lang string, score double, x int"
 
@@ -121,6 +121,30 @@ def test_toxicity_held_out_and_odd_rows(spark):
     assert toxicity.drop_toxic(spark, docs(spark, rows), labels.limit(0)).count() == len(rows)
 
 
+def test_toxic_words_beyond_the_best_192_terms_are_recognised(spark):
+    vile = [a + b + c for a in "bdfgklm" for b in "aeiou" for c in "bdfgklmn"]
+    rng = random.Random(8)
+    corpus = [(f"{sentence(rng, 8)} {w}", 1) for w in vile for _ in range(5)]
+    corpus += [(sentence(rng, 9), 0) for _ in corpus]
+    model = toxicity.fit(spark, spark.createDataFrame(corpus, "text string, label int"))
+    assert len(vile) == 280 and all(model.score(f"the river {w} sings") > 0.3 for w in vile)
+    assert model.score("the river walks") < 0.3
+
+
+def test_merged_sums_reach_the_driver_once(spark, monkeypatch):
+    monkeypatch.setattr(sums, "PIECE", 5)
+    rows = spark.range(1000).selectExpr("id", "id % 7 as v")
+
+    def add(batch):
+        v = batch.column("v").to_numpy()
+        return v.sum(), np.outer([1, 2, 3], [v.sum(), len(v)])
+
+    total, table = sums.merged_sums(rows, add)
+    v = np.arange(1000) % 7
+    assert total == v.sum() and (table == np.outer([1, 2, 3], [v.sum(), 1000])).all()
+    assert sums.merged_sums(rows.limit(0), add) is None
+
+
 def test_counterfactual_penalty_frees_identity_terms(spark):
     corpus = toxic_corpus(600, term="muslim")
     rows = spark.createDataFrame([(t, y) for _, t, y in corpus], "text string, label int")
