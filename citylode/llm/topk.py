@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 INDEX_ROWS = 65_536
 QUERY_ROWS = 1_024
-LARGEST = 1 << 26  # so that a sum over up to 2^10 dimensions fits a long
+WIDE = 1 << 26  # rows with a component from here on have an index of their own, as it needs more digits
+LONG = 1 << 63
 
 
 def bitmaps(values: np.ndarray) -> np.ndarray:
@@ -94,6 +95,35 @@ class BlockIndex:
         return self.ids[rows], scores
 
 
+def exact_top(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same as ``BlockIndex.top`` in integers of any size, without the rows whose scores do not fit a long."""
+    rows = np.flatnonzero(ids != own)
+    scores = (vectors[rows].astype(object) @ query.astype(object)).tolist() if len(rows) else []
+    fit = (j for j, score in enumerate(scores) if -LONG <= score < LONG)
+    best = sorted(fit, key=lambda j: (-scores[j], ids[rows[j]]))[:k]
+    return ids[rows[best]] if best else ids[:0], np.array([scores[j] for j in best], np.int64)
+
+
+class Block:
+    """Rows of any long components: bit slices where no sum can pass a long, exact integers elsewhere."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        least, largest = int(vectors.min(initial=0)), int(vectors.max(initial=0))
+        self.reach = max(-least, 0) + (1 << (largest - least).bit_length())
+        self.index = BlockIndex(ids, vectors) if largest - least < LONG >> 1 else None
+
+    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.index is not None and sum(map(abs, query.tolist())) * self.reach < LONG >> 1:
+            return self.index.top(query, own, k)
+        return exact_top(self.ids, self.vectors, query, own, k)
+
+
+def blocks(ids: np.ndarray, vectors: np.ndarray) -> list[Block]:
+    wide = ((vectors >= WIDE) | (vectors <= -WIDE)).any(axis=1)
+    return [Block(ids[part], vectors[part]) for part in (~wide, wide) if part.any()]
+
+
 def positions(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
@@ -102,7 +132,8 @@ def quantised(embedding: Column, scale: int) -> Column:
     """floor(scale * x) of every component as a double, and null for vectors that take no part."""
     levels = F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     bad = F.exists(embedding, lambda x: F.coalesce(
-        F.isnan(x.cast("double")) | (F.abs(x.cast("double") * scale) >= LARGEST), F.lit(True)))
+        F.isnan(x.cast("double")) | (x.cast("double") * scale >= float(LONG)) | (x.cast("double") * scale < -float(LONG)),
+        F.lit(True)))
     return F.when(embedding.isNotNull() & ~bad, levels)
 
 
@@ -113,8 +144,9 @@ def top_k(
     """The k best rows for each row where ``is_query`` holds: query_id, rank (from 1), vec_id, score.
 
     Components become floor(scale * x); the score is the integer inner product. Candidates are all rows of as
-    many dimensions with another id. Ties go to the smaller id. Vectors that are null, or hold null, NaN,
-    infinite or absurdly large components (2^26 after scaling), take no part, nor do rows without id. Rows that
+    many dimensions with another id. Ties go to the smaller id. Vectors that are null, or hold null, NaN or
+    infinite components or ones that do not fit a long after scaling, take no part, nor do rows without id, nor
+    pairs whose score does not fit a long. Where scores may come near that, they are added up one by one. Rows that
     share an id are candidates each; as queries equal ones ask once, and different ones share a ranking. With fewer candidates all are returned; an empty
     table gives no rows. Other columns are not read.
 
@@ -140,10 +172,11 @@ def top_k(
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, ...]] = []
         if left.num_rows and right.num_rows:
-            block = BlockIndex(left.column("vec_id").to_numpy(), matrix(left))
+            parts = blocks(left.column("vec_id").to_numpy(), matrix(left))
             for own, query in zip(right.column("vec_id").to_pylist(), matrix(right), strict=True):
-                ids, scores = block.top(query, own, k)
-                out.append((np.full(len(ids), own), ids, scores))
+                for part in parts:
+                    ids, scores = part.top(query, own, k)
+                    out.append((np.full(len(ids), own), ids, scores))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 

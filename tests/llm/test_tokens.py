@@ -151,6 +151,22 @@ def test_top_k_against_brute_force(spark):
     assert len(few) == 2
 
 
+def test_top_k_takes_large_vectors(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 4)))]
+    rows += [(100 + i, (10.0 ** (5 + i % 5) * v).tolist()) for i, v in enumerate(rng.normal(size=(40, 4)))]
+    rows += [(200, [1e17, 0.0, 0.0, 0.0]), (201, [-1e17, 1.0, 0.0, 0.0]), (202, [-1.4e17] * 4), (203, [0.0] * 4)]
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    data = spark.createDataFrame([*rows, (204, [1e300] * 4)], "vec_id bigint, embedding array<double>")
+    want = set()
+    for q in (i for i in whole if i % 2 == 0):
+        scores = {i: sum(a * b for a, b in zip(whole[q], v, strict=True)) for i, v in whole.items() if i != q}
+        best = sorted((-s, i) for i, s in scores.items() if -2**63 <= s < 2**63)[:20]
+        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(best)}
+    got = topk.top_k(data, F.col("vec_id") % 2 == 0, index_rows=40).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def check_packing(pieces, counts, capacities):
     bins = {}
     for r in pieces:
