@@ -8,6 +8,7 @@ probability 0.3.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,8 @@ SYMBOL[97:123] = SYMBOL[65:91] = np.arange(1, 27)
 SYMBOL[128:192] = np.arange(27, 91)
 SYMBOLS = 91
 PRIOR_WEIGHT = 1e-4  # pull of the rates towards 1, beside the match of the targets
-STEPS = 40
+STEPS = 400
+PATIENCE = 40  # steps without progress that end the descent
 TOLERANCE = 1e-4
 
 
@@ -132,16 +134,25 @@ def fit_rates(domains: DataFrame, shares: np.ndarray, growth: float | None) -> t
     size = natural.sum()
     wanted = shares * (size * growth if growth else (natural[shares > 0] / shares[shares > 0]).max())
     # Gaps are measured in the norm in which all domains answer alike, so that few steps are needed.
-    norm = np.linalg.inv(gram / size + 1e-3 * np.eye(d) / d)
+    # Its floor is a part of each domain's own share, for rare domains to answer as fast as others.
+    norm = np.linalg.inv(gram / size + np.diag(1e-3 * natural / size + 1e-12))
     rates = Rates([], 1 / (1 + PRIOR_WEIGHT))
+    allowed, gaps = TOLERANCE * wanted.sum() / size, []
     for _ in range(STEPS):
         now = totals(rates.look)[0]
         gap = (now - wanted) / size
-        if np.abs(gap).max() < TOLERANCE * wanted.sum() / size:
+        gaps.append(float(np.abs(gap).max()))
+        if gaps[-1] < allowed:
             # The point just measured becomes the answer: a step without pull leads there.
             rates = Rates([*rates.pulls, np.zeros(len(shares))], rates.step)
             break
         rates = Rates([*rates.pulls, norm @ gap], rates.step)
+        if len(gaps) > PATIENCE and min(gaps[-PATIENCE:]) > 0.99 * min(gaps[:-PATIENCE]):
+            break
+    if gaps[-1] >= allowed:
+        warnings.warn(
+            f"mixing: targets are not met after {len(gaps)} steps; the largest gap is {gaps[-1] * size / wanted.sum():.2g} "
+            "of the wanted total", stacklevel=2)
     return rates, natural, wanted
 
 
@@ -193,7 +204,7 @@ def mixture(
     rows of other or null domains teach nothing but are mixed like all. A null, empty or letterless text gets
     posteriors from the classifier's intercepts, a text without words counts no tokens. Copies are drawn by
     hashed doc_id, the same on every run; repeated rows draw alike. Without labelled rows posteriors are even.
-    An empty table gives no rows.
+    An empty table gives no rows. Targets that posteriors cannot meet are approached, and a warning names the gap.
     """
     model, rates, domains = fit_mixture(spark, docs, labels, targets, domain, growth, fit_rows)
 

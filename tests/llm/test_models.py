@@ -194,6 +194,21 @@ def test_rates_against_a_direct_solution(spark):
     assert np.abs(p.T @ (tokens * r) - wanted).max() < 0.002 * tokens.sum()
 
 
+def test_rates_of_a_very_rare_domain(spark):
+    rows = [(1_000_000, [1.0, 0.0, 0.0]), (999_998, [0.0, 1.0, 0.0]), (2, [0.0, 0.0, 1.0])]
+    table = spark.createDataFrame(rows, "n_tokens bigint, p array<double>")
+    rates, _, wanted = mixing.fit_rates(table, np.array([0.4, 0.4, 0.2]), growth=None)
+    tokens, p = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert np.abs(p.T @ (tokens * rates(p)) - wanted).max() < 0.001 * wanted.sum()
+
+
+def test_targets_that_cannot_be_met_are_reported(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PATIENCE", 3)
+    table = spark.createDataFrame([(10, [0.5, 0.5])], "n_tokens bigint, p array<double>")
+    with pytest.warns(UserWarning, match="gap"):
+        mixing.fit_rates(table, np.array([0.9, 0.1]), growth=None)
+
+
 def test_mix_copies_rows(spark):
     rows = language_rows(200) + [(900, None, None), (901, "", "en"), (None, "the fox", "en"), (902, "123 !!", "xx")]
     labels = spark.createDataFrame([(i,) for i, _, _ in rows], "doc_id bigint")
