@@ -199,7 +199,8 @@ def mixture(
     """One row per row of ``docs``: doc_id, n_tokens (words), p_<domain> for each target, rate, copies.
 
     ``targets`` gives each domain's weight in expected tokens; ``growth`` the wanted total as a multiple of
-    the present one, by default the least at which no domain loses tokens. The classifier learns the column
+    the present one, by default the least at which no domain loses tokens. Rates are at least 0; one below 1 drops
+    its document with probability 1 - rate, as targets can need where posteriors overlap. The classifier learns the column
     ``domain`` of the documents in ``labels``, about ``fit_rows`` of them at most, chosen by hashed doc_id;
     rows of other or null domains teach nothing but are mixed like all. A null, empty or letterless text gets
     posteriors from the classifier's intercepts, a text without words counts no tokens. Copies are drawn by

@@ -31,7 +31,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that languages have their shares; no language loses tokens."""
+    """Documents repeated so that languages have their shares; one with a rate below 1 may be dropped (see ``mixture``)."""
     return mix(spark, docs, table(spark, sf_dir, "labels"), LANGUAGE_WEIGHTS)
 
 
