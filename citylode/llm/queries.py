@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from citylode.llm.common import table
 from citylode.llm.exact_dedup import exact_duplicates
+from citylode.llm.hard_negatives import hard_negatives
 from citylode.llm.mixing import mixture
 from citylode.llm.near_dedup import near_duplicates
+from citylode.llm.neighbours import nearest
 from citylode.llm.packing import pack_documents
 from citylode.llm.quality import quality_scores
 from citylode.llm.separators import document_token_counts
@@ -20,6 +22,7 @@ from citylode.llm.token_files import documents_of, token_files
 from citylode.llm.topk import top_k
 from citylode.llm.toxicity import toxicity_scores
 from citylode.llm.url_filter import ALLOW, BLOCK, Rule, judge_urls
+from citylode.llm.whitening import whiten
 
 # The rules of the URL query.
 URL_RULES = [
@@ -75,10 +78,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), corpus_pipeline.LANGUAGE_WEIGHTS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = table(spark, sf_dir, "embeddings").withColumn("label", F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives(spark, moved, vec_id % 100 == 0)
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality, op2_packing, op3_token_files, op4_url_filter, op5_topk, op6_token_counts, op7_toxicity,
-        op8_near_dedup, op9_exact_dedup, op10_mixing)
+        op8_near_dedup, op9_exact_dedup, op10_mixing, op11_hard_negatives, op12_neighbours, op13_whitening)
 } | {"pipeline": corpus_pipeline.run}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -141,6 +158,28 @@ ORACLES = {
             doc_id = max(doc_id) over same as kept, sha256(coalesce(text, '')) as text_sha256
         from documents
         window same as (partition by coalesce(text, ''))""",
+    "op11_hard_negatives": """
+        with levels as (
+            select rowid as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from (select *, row_number() over () as rowid from embeddings)
+            where embedding is not null and vec_id is not null and label is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+            select a.row as anchor, a.vec_id as anchor_id, c.row, c.vec_id, a.label = c.label as same,
+                list_dot_product(a.v, c.v)::bigint as score
+            from levels a join levels c on a.row <> c.row and len(a.v) = len(c.v) and len(a.v) > 0
+            where a.vec_id % 100 = 0),
+        positives as (
+            select anchor, anchor_id, vec_id as positive_id, score as positive_score,
+                row_number() over (partition by anchor order by score desc, vec_id, row) as k
+            from scored where same qualify k <= 5)
+        select p.anchor_id, positive_id,
+            row_number() over (partition by anchor, k order by score desc, vec_id, row)::int as rank,
+            vec_id as negative_id, positive_score, score as negative_score
+        from positives p join scored s using (anchor)
+        where not same and 80 * positive_score <= 100 * score and score <= positive_score
+        qualify rank <= 5""",
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
