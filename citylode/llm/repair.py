@@ -1,9 +1,11 @@
 """Re-Pair: frequent pairs of ids become nonterminals, over and over; rules and expansion lengths are kept.
 
-A packed shard is, in this order, little-endian: the magic ``RPR1``; uint32 numbers of base ids, rules,
-symbols and documents; the rules as pairs of uint16; the expansion length of every rule as uint32; doc_ids as
-int64 and document lengths in ids as uint32; the symbols as uint16. Symbols below the number of base ids are
-ids, the others rules in order.
+A packed shard is, in this order, little-endian: the magic ``RPR2``; uint32 numbers of base ids, rules, symbols
+and documents, of documents without id (they come first), of bits of a symbol and of bytes of an expansion length;
+the rules, as one list of their left and
+right symbols; the expansion length of every rule; doc_ids as int64 and document lengths in ids as uint32; the
+symbols. Symbols below the number of base ids are ids, the others rules in order. A list of symbols is the low
+16 bits of each as uint16, then, for every further bit, that bit of all symbols, packed eight to a byte.
 """
 
 from __future__ import annotations
@@ -13,38 +15,46 @@ from functools import cached_property
 
 import numpy as np
 
-MAGIC = b"RPR1"
-SYMBOLS = 1 << 16
-ROUNDS = 4
-LEAST = 16  # occurrences that a rule must replace
-PER_ROUND = 4000
-
-
-def frequent_pairs(symbols: np.ndarray, limit: int, least: int) -> np.ndarray:
-    """The pairs, as left << 16 | right, that occur at least ``least`` times; the ``limit`` most frequent."""
-    pairs = np.sort(symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:])
-    edges = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1], [True]]))
-    counts, found = np.diff(edges), pairs[edges[:-1]]
-    often = np.flatnonzero(counts >= least)
-    if len(often) > limit:
-        often = often[np.argsort(-counts[often], kind="stable")[:limit]]
-    return np.sort(found[often])
-
-
-def replaced(symbols: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
-    """The symbols with the chosen pairs replaced, from left to right, by ``first`` and following symbols."""
-    pairs = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
-    # A table of 2^18 slots rules most pairs out; the few left are searched for.
-    slot = (pairs * np.uint32(0x9E3779B1)) >> np.uint32(14)
-    taken = np.zeros(1 << 18, bool)
-    taken[(chosen * np.uint32(0x9E3779B1)) >> np.uint32(14)] = True
-    maybe = np.flatnonzero(taken[slot])
-    at = np.searchsorted(chosen, pairs[maybe])
-    hit = chosen[np.minimum(at, len(chosen) - 1)] == pairs[maybe]
-    where, which = maybe[hit], at[hit]
-    if not len(where):
-        return symbols
-    # Neighbouring hits overlap: of a run of them the first, third and so on are taken.
+MAGIC = b"RPR2"
+LEAST = 3  # a rule costs two symbols and a length, and saves a symbol per use: two uses do not pay for it
+SLOTS = 18  # binary logarithm of the counters that rule out rare pairs
+
+
+def pairs_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of neighbours as left << 32 | right, and its counter."""
+    left, right = symbols[:-1], symbols[1:]
+    slot = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - SLOTS)
+    return left.astype(np.uint64) << np.uint64(32) | right, slot
+
+
+def chosen_pairs(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Those of some pairs, sorted, that can be replaced together.
+
+    In falling order of their counts, a pair is taken unless one taken before ends with its first symbol or
+    begins with its second: then no two of the chosen ones overlap in the text. Each step takes all pairs that
+    no undecided one precedes in that way.
+    """
+    order = np.argsort(-counts, kind="stable")
+    left, right = found[order] >> np.uint64(32), found[order] & np.uint64(0xFFFFFFFF)
+    names, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+    left, right = at[:len(order)], at[len(order):]
+    open_, taken = np.arange(len(order)), np.zeros(len(order), bool)
+    begun, ended = np.zeros(len(names), bool), np.zeros(len(names), bool)
+    while len(open_):
+        x, y = left[open_], right[open_]
+        begins, ends = np.full(len(names), len(order)), np.full(len(names), len(order))
+        begins[x[::-1]] = open_[::-1]  # the first undecided pair that begins with a symbol
+        ends[y[::-1]] = open_[::-1]
+        good = (ends[x] >= open_) & (begins[y] >= open_)
+        taken[open_[good]] = True
+        begun[x[good]] = ended[y[good]] = True
+        open_ = open_[~good & ~ended[x] & ~begun[y]]
+    return np.sort(found[order[taken]])
+
+
+def replaced(symbols: np.ndarray, where: np.ndarray, which: np.ndarray, first: int) -> np.ndarray:
+    """The symbols with the pairs at ``where`` replaced, from left to right, by ``first`` plus their numbers."""
+    # Only pairs of two equal symbols overlap: of a run of them the first, third and so on are taken.
     begins = np.concatenate([[True], np.diff(where) > 1])
     run_start = np.maximum.accumulate(np.where(begins, np.arange(len(where)), 0))
     take = (np.arange(len(where)) - run_start) % 2 == 0
@@ -55,21 +65,56 @@ def replaced(symbols: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
     return out[keep]
 
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and rules (a pair of symbols each) of a sequence of ids below ``base``."""
-    symbols, rules = ids.astype(np.uint16), []
-    made = 0
-    for _ in range(rounds):
-        limit = min(PER_ROUND, SYMBOLS - base - made)
-        if len(symbols) < 2 or limit <= 0:
+def compress(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols and rules (a pair of symbols each) of a sequence of ids below ``base``.
+
+    Goes on until no pair occurs ``least`` times. Each round takes the pairs above a falling limit, the most
+    frequent ones first, and replaces all those together that do not overlap.
+    """
+    symbols, rules, made, limit = ids.astype(np.uint32), [], 0, None
+    while len(symbols) > 1:
+        pairs, slot = pairs_of(symbols)
+        counters = np.bincount(slot, minlength=1 << SLOTS)
+        most = int(counters.max())
+        limit = max(least, min(most, most if limit is None else limit * 2 // 3))
+        found = np.zeros(0, np.uint64)
+        while not len(found):
+            maybe = np.flatnonzero(counters[slot] >= limit)
+            found, counts = np.unique(pairs[maybe], return_counts=True)
+            same = found >> np.uint64(32) == found & np.uint64(0xFFFFFFFF)
+            counts[same] = (counts[same] + 1) // 2  # at least so many of them do not overlap
+            often = counts >= limit
+            found, counts = found[often], counts[often]
+            if len(found) or limit == least:
+                break
+            limit = max(least, limit * 2 // 3)
+        if not len(found):
             break
-        chosen = frequent_pairs(symbols, limit, least)
-        if not len(chosen):
-            break
-        symbols = replaced(symbols, chosen, base + made)
-        rules.append(np.column_stack([chosen >> np.uint32(16), chosen & np.uint32(0xFFFF)]).astype(np.uint16))
+        chosen = chosen_pairs(found, counts)
+        at = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
+        hit = chosen[at] == pairs[maybe]
+        symbols = replaced(symbols, maybe[hit], at[hit].astype(np.uint32), base + made)
+        rules.append(np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(chosen)
-    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint16)
+    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+
+
+def pack_symbols(symbols: np.ndarray, bits: int) -> bytes:
+    """Symbols of ``bits`` bits each: the low halves, then one plane for each further bit."""
+    planes = [np.packbits((symbols >> np.uint32(k) & np.uint32(1)).astype(np.uint8)).tobytes() for k in range(16, bits)]
+    return (symbols & np.uint32(0xFFFF)).astype("<u2").tobytes() + b"".join(planes)
+
+
+def packed_size(n: int, bits: int) -> int:
+    return 2 * n + max(0, bits - 16) * -(-n // 8)
+
+
+def unpack_symbols(data: bytes, n: int, bits: int) -> np.ndarray:
+    out = np.frombuffer(data, "<u2", n).astype(np.uint32)
+    for k in range(16, bits):
+        plane = np.frombuffer(data, np.uint8, -(-n // 8), 2 * n + (k - 16) * -(-n // 8))
+        out |= np.unpackbits(plane, count=n).astype(np.uint32) << np.uint32(k)
+    return out
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -80,13 +125,16 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return lengths[base:]
 
 
-def pack_shard(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, base: int) -> bytes:
-    """A shard of whole documents as bytes."""
+def pack_shard(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, base: int, nameless: int = 0) -> bytes:
+    """A shard of whole documents as bytes; the first ``nameless`` ones have no id."""
     symbols, rules = compress(ids, base)
+    bits = max(16, int(base + len(rules)).bit_length())
+    sizes = expansion_lengths(rules, base)
+    width = next(w for w in (1, 2, 4) if sizes.max(initial=0) < 1 << 8 * w)
     return b"".join([
-        MAGIC, np.array([base, len(rules), len(symbols), len(doc_ids)], "<u4").tobytes(), rules.astype("<u2").tobytes(),
-        expansion_lengths(rules, base).astype("<u4").tobytes(), doc_ids.astype("<i8").tobytes(),
-        lengths.astype("<u4").tobytes(), symbols.astype("<u2").tobytes()])
+        MAGIC, np.array([base, len(rules), len(symbols), len(doc_ids), nameless, bits, width], "<u4").tobytes(),
+        pack_symbols(rules.T.reshape(-1), bits), sizes.astype(f"<u{width}").tobytes(), doc_ids.astype("<i8").tobytes(),
+        lengths.astype("<u4").tobytes(), pack_symbols(symbols, bits)])
 
 
 @dataclass(frozen=True)
@@ -98,6 +146,7 @@ class Shard:
     doc_ids: np.ndarray
     lengths: np.ndarray
     symbols: np.ndarray
+    nameless: int = 0
 
     @cached_property
     def expansion(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,9 +191,12 @@ class Shard:
 def open_shard(data: bytes) -> Shard:
     if data[:4] != MAGIC:
         raise ValueError("not a packed shard")
-    base, rules, symbols, docs = np.frombuffer(data, "<u4", 4, 4).tolist()
-    at, out = 20, []
-    for kind, n in (("<u2", 2 * rules), ("<u4", rules), ("<i8", docs), ("<u4", docs), ("<u2", symbols)):
+    base, rules, symbols, docs, nameless, bits, width = np.frombuffer(data, "<u4", 7, 4).tolist()
+    at = 32
+    pairs = unpack_symbols(data[at:at + packed_size(2 * rules, bits)], 2 * rules, bits).reshape(2, -1).T
+    at += packed_size(2 * rules, bits)
+    out = []
+    for kind, n in ((f"<u{width}", rules), ("<i8", docs), ("<u4", docs)):
         out.append(np.frombuffer(data, kind, n, at))
         at += out[-1].nbytes
-    return Shard(base, out[0].reshape(-1, 2), *out[1:])
+    return Shard(base, pairs, *out, unpack_symbols(data[at:at + packed_size(symbols, bits)], symbols, bits), nameless)

@@ -15,7 +15,6 @@ from citylode.llm.encoder import chunks
 from citylode.llm.repair import open_shard, pack_shard
 
 SHARD_IDS = 1 << 20
-NO_ID = -(1 << 63)  # stands for a null doc_id inside a shard
 SHARDS = "part int, shard int, part_start bigint, n_docs bigint, n_ids bigint, data binary"
 DOCS = "part int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -33,14 +32,14 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, base: int, shard_
     def work(batches):
         encoder = chunks(tokenizer)
         end, part = np.array([end_id], "<u2").tobytes(), TaskContext.get().partitionId()
-        waiting: list[tuple[int, bytes]] = []
+        waiting: list[tuple[int | None, bytes]] = []
         n_ids = shard = before = 0
 
         def close():
             nonlocal n_ids, shard, before, waiting
             data = pack_shard(
-                np.array([d for d, _ in waiting], np.int64), np.array([len(x) // 2 for _, x in waiting]),
-                np.frombuffer(b"".join(x for _, x in waiting), "<u2"), base)
+                np.array([d or 0 for d, _ in waiting], np.int64), np.array([len(x) // 2 for _, x in waiting]),
+                np.frombuffer(b"".join(x for _, x in waiting), "<u2"), base, sum(d is None for d, _ in waiting))
             row = [part, shard, before, len(waiting), n_ids, data]
             before, shard, n_ids, waiting = before + n_ids, shard + 1, 0, []
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, KINDS, strict=True)], NAMES)
@@ -48,7 +47,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, base: int, shard_
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = encoder.encode(text.as_py()) + end
-                waiting.append((NO_ID if doc_id is None else doc_id, ids))
+                waiting.append((doc_id, ids))
                 n_ids += len(ids) // 2
                 if n_ids >= shard_ids:
                     yield close()
@@ -72,7 +71,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 ids = shard.ids().astype("<u4")
                 ends = np.cumsum(shard.lengths.astype(np.int64))
                 starts = ends - shard.lengths
-                null = shard.doc_ids == NO_ID
+                null = np.arange(len(ends)) < shard.nameless
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(ends), part), pa.int32()), pa.array(shard.doc_ids, pa.int64(), mask=null),
                     pa.array(before + starts), pa.array(shard.lengths, pa.int64()),

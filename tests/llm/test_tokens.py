@@ -45,6 +45,54 @@ def test_repair_round_trip():
         repair.open_shard(b"none" + data[4:])
 
 
+def plain_repair(ids, base, least):
+    """One pair at a time, the most frequent first."""
+    symbols, rules = ids.astype(np.uint32), 0
+    while len(symbols) > 1:
+        pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
+        found, counts = np.unique(pairs, return_counts=True)
+        if counts.max() < least:
+            break
+        where = np.flatnonzero(pairs == found[counts.argmax()])
+        used = repair.replaced(symbols, where, np.zeros(len(where), np.uint32), base + rules)
+        if len(symbols) - len(used) < least:
+            break
+        symbols, rules = used, rules + 1
+    return symbols, rules
+
+
+def bits(symbols, rules, base=49408):
+    width = max(16, int(base + rules).bit_length())
+    return width * (len(symbols) + 2 * rules) + 8 * rules
+
+
+def test_repair_goes_on_to_its_end():
+    """No pair is left that occurs often enough, and one pair at a time does not do much better."""
+    encode = Tokenizer.from_file(VOCABULARY)
+    rng = random.Random(11)
+    words = ["the", "city", "counts", "bicycles", "every", "hour", "and", "air", "is", "measured", "at", "many", "sites"]
+    phrases = [" ".join(rng.choices(words, k=rng.randrange(2, 7))) for _ in range(150)]
+    ids = np.array(encode.encode(" ".join(rng.choice(phrases) for _ in range(4000))).ids, np.uint16)
+    for sample in (ids, rng.choices(range(60), k=8000), np.repeat(ids[:300], 3), np.tile(ids[:500], 9)):
+        sample = np.asarray(sample, np.uint16)
+        symbols, rules = repair.compress(sample, 49408)
+        counts = np.unique(np.column_stack([symbols[:-1], symbols[1:]]), axis=0, return_counts=True)
+        left = {tuple(p): n for p, n in zip(counts[0].tolist(), counts[1].tolist(), strict=True)}
+        assert all(n < repair.LEAST or (a == b and (n + 1) // 2 < repair.LEAST) for (a, b), n in left.items())
+        assert bits(symbols, len(rules)) <= 1.02 * bits(*plain_repair(sample, 49408, repair.LEAST))
+    whole = np.tile(ids[:1000], 40)  # a passage of 1,000 ids, repeated: not 16 ids a symbol
+    assert repair.expansion_lengths(repair.compress(whole, 49408)[1], 49408).max() >= 1000
+
+
+@pytest.mark.parametrize("width", [16, 17, 19, 32])
+def test_packed_symbols(width):
+    rng = np.random.default_rng(width)
+    for n in (0, 1, 7, 8, 1001):
+        symbols = rng.integers(0, 1 << width, n, dtype=np.uint32)
+        data = repair.pack_symbols(symbols, width)
+        assert len(data) == repair.packed_size(n, width) and (repair.unpack_symbols(data, n, width) == symbols).all()
+
+
 def brute(texts, end):
     plain, start, out = Tokenizer.from_file(VOCABULARY), 0, []
     for i, t in enumerate(texts):
@@ -69,6 +117,9 @@ def test_token_files_odd_ids(spark):
     assert [r.doc_id for r in got] == [None, 1, 7, 7, 7] and [r.start for r in got][:3] == [0, 2, 3]
     assert sum(r.n_tokens for r in got) == 10
     assert token_files.documents_of(token_files.token_files(spark, rows.limit(0), VOCABULARY)).count() == 0
+    least = spark.createDataFrame([(-(1 << 63), "a"), (None, "b"), (None, None), (0, "c")], "doc_id bigint, text string")
+    got = token_files.documents_of(token_files.token_files(spark, least, VOCABULARY)).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, None, -(1 << 63), 0]
 
 
 @pytest.mark.parametrize("block_ids", [1, 7, 1 << 20])
