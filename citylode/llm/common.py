@@ -55,14 +55,14 @@ def text_sha256(text: Column) -> Column:
 def apply_decisions(spark: SparkSession, docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decisions`` keeps, with all their columns.
 
-    ``decisions`` is a stored table of doc_id, text_sha256 and kept, a row for each row of ``docs``.
-    Rows equal in doc_id and text cannot be told apart; if one of them is kept, one stays. The rows that
-    go are few beside the texts: as long as they are, they are broadcast and no text is shuffled.
+    ``decisions`` is a stored table of doc_id, text_sha256 and kept, a row for each row of ``docs``. Rows equal in
+    doc_id and text cannot be told apart: all stay if all are kept, none if none is, and one if only some are. The
+    rows that go are few beside the texts: as long as they are, they are broadcast and no text is shuffled.
     """
     doc_id, sha = fresh(docs, "gone_id", "gone_sha")
     flags = decisions.groupBy("doc_id", "text_sha256").agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.col("kept").cast("int")).alias("kept")).filter(
-        "rows > 1 or kept = 0").withColumnsRenamed({"doc_id": doc_id, "text_sha256": sha})
+        F.count(F.lit(1)).alias("rows"), F.count_if("kept").alias("kept")).filter(
+        "kept < rows").withColumnsRenamed({"doc_id": doc_id, "text_sha256": sha})
     flags = stored(spark, flags, "flags")
     (key,) = fresh(docs, "row_sha")
     keyed = docs.withColumn(key, text_sha256(F.col("text")))
@@ -71,7 +71,7 @@ def apply_decisions(spark: SparkSession, docs: DataFrame, decisions: DataFrame)
         return (F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id))) & (F.col(key) == F.col(sha))
 
     rest = keyed.join(small(flags.select(doc_id, sha), BROADCAST_ROWS // 4), matches(), "left_anti")
-    again = flags.filter("rows > 1 and kept = 1").select(doc_id, sha)
+    again = flags.filter("kept > 0").select(doc_id, sha)
     if not again.isEmpty():
         repeated = keyed.join(small(again, BROADCAST_ROWS // 4), matches(), "left_semi")
         rest = rest.unionByName(repeated.dropDuplicates(["doc_id", key]))
@@ -83,7 +83,7 @@ def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
     total = df.count()
     if total <= rows:
         return df
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < F.lit(int((1 << 20) * rows / total)))
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 60)) < F.lit((1 << 60) * rows // total))
 
 
 def all_of(columns: list[Column]) -> Column:

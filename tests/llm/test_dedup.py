@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import defaultdict
 
@@ -127,12 +128,32 @@ def test_near_odd_rows(spark):
     assert [(r.component_id, r.kept) for r in got if r.doc_id is None] == [(None, True)]
     kept = drop_near_duplicates(spark, frame(spark, rows))
     assert kept.columns == ["doc_id", "text", "kept", "hub"]
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 3, 4, 7]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 3, 4, 7, 7]
     assert near_duplicates(spark, frame(spark, [])).count() == 0
     assert near_duplicates(spark, frame(spark, [(1, None), (2, " ")])).filter("kept").count() == 2
     assert drop_near_duplicates(spark, frame(spark, [])).count() == 0
 
 
+def test_what_is_marked_kept_stays_and_nothing_else(spark):
+    """Rows without id or words, and repeated ones, in both stages; other columns tell rows apart."""
+    text = "one two three four five six seven"
+    rows = [(None, text), (None, text), (None, "other words"), (None, None), (1, " "), (1, " "), (5, text), (5, text), (6, text),
+            (8, None), (8, ""), (9, "nine")]
+    docs = spark.createDataFrame([(i, t, f"row {n}", n) for n, (i, t) in enumerate(rows)], SCHEMA)
+
+    def ids(df):
+        return sorted((r.doc_id or 0, r.text or "") for r in df.select("doc_id", "text").collect())
+
+    near = near_duplicates(spark, docs)
+    kept = drop_near_duplicates(spark, docs)
+    text_of = {(r.doc_id or 0, r.text_sha256): r.kept for r in near.collect()}
+    assert len(near.filter("kept").collect()) == kept.count() == 11 and kept.dropDuplicates(["kept"]).count() == 11
+    assert ids(kept) == sorted((i or 0, t or "") for i, t in rows if i != 6) and len(text_of) == 8
+    exact = exact_duplicates(spark, docs)
+    shas = sorted((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in ids(drop_exact_duplicates(spark, docs)))
+    assert shas == sorted((r.doc_id or 0, r.text_sha256) for r in exact.filter("kept").collect())
+
+
 def test_near_very_long_text(spark):
     rng = random.Random(2)
     words = [f"t{rng.randrange(10**6)}" for _ in range(60_000)]
