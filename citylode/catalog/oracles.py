@@ -157,6 +157,8 @@ def with_ctes(statement: str) -> str:
     visit(statement)
     # A subquery may be named before it is defined only if listed earlier, so keep the listed order.
     parts = [f"{name} as ({body})" for name, body in CTES.items() if name in needed]
+    if statement.lstrip().startswith("with ") and parts:
+        statement = "," + statement.lstrip()[len("with"):]
     return ("with " + ",\n".join(parts) + "\n" if parts else "") + statement
 
 
@@ -214,16 +216,35 @@ def future(table: str, source: str, column: str) -> str:
                  f"select count(*) from {source} where {column} > date '2000-06-01'")
 
 
+def unreadable(table: str, column: str, value: str) -> str:
+    return check(f"readable:{column}", table, "warn",
+                 f"select count(*) from {table} where trim(coalesce({column}, '')) <> '' and ({value}) is null")
+
+
+HALF = "try_cast(trim(split_part({0}, ',', {1})) as double)"
+LOADED_AIR = "(select * from last_air where code_site is not null) t"
 REPORT = " union all ".join([
     *missing("raw_air_quality", "raw_air_quality", "date_debut date_fin organisme code_site polluant _file_name _loaded_at"),
+    *missing("raw_coordonnees", "raw_coordonnees", "code_site latitude longitude _file_name _loaded_at"),
+    *missing("raw_trafic_velo", "raw_trafic_velo", "compteur_id sum_counts date _file_name _loaded_at"),
     *missing("raw_trafic_routier", "raw_trafic_routier", "iu_ac t_1h _file_name _loaded_at"),
+    *missing("raw_stations_velib", "raw_stations_velib",
+             "stationcode name coordonnees_geo_lat coordonnees_geo_lon _file_name _loaded_at"),
+    *[check(f"not_null:{c}", "raw_arrondissements_paris", "error", "select 0") for c in ("raw_geojson", "_loaded_at")],
+    *missing("stg_air_quality", LOADED_AIR, "code_site polluant date_debut _loaded_at"),
     *missing("stg_coordonnees", "coords", "code_site latitude longitude"),
+    *missing("stg_trafic_velo", "stg_bike", "compteur_id date_jour"),
+    *missing("stg_trafic_routier", "stg_road", "arc_id date_jour"),
     *missing("stg_stations_velib", "stations", "stationcode nom_station"),
     *missing("stg_arrondissements", "diamonds", "arrondissement_code code_insee nom_arrondissement"),
     check("not_null:geometry", "stg_arrondissements", "error", "select count(*) from diamonds where cx is null"),
     *missing("int_air_quality_idf", "air", "code_site polluant date_mesure latitude longitude"),
     *missing("int_velo_daily", "bikes", "compteur_id date_jour total_passages_jour"),
     *missing("int_trafic_daily", "roads", "arc_id date_jour nb_mesures"),
+    *missing("int_air_quality_zoned", "air_z", "arrondissement_code date_jour"),
+    *missing("int_trafic_zoned", "road_z", "arrondissement_code date_jour"),
+    *missing("int_velo_zoned", "bike_z", "arrondissement_code date_jour"),
+    repeated("raw_coordonnees", "raw_coordonnees", "code_site"),
     repeated("stg_coordonnees", "coords", "code_site"),
     repeated("stg_stations_velib", "stations", "stationcode"),
     repeated("stg_arrondissements", "diamonds", "arrondissement_code"),
@@ -233,6 +254,15 @@ REPORT = " union all ".join([
     unexpected("raw_air_quality", "raw_air_quality", "type_implantation", SITE_SETTINGS),
     unexpected("raw_air_quality", "raw_air_quality", "code_qualite", QUALITY_CODES),
     unexpected("raw_trafic_routier", "raw_trafic_routier", "etat_trafic", TRAFFIC_STATES),
+    unexpected("stg_trafic_routier", "stg_road", "etat_trafic", TRAFFIC_STATES),
+    unreadable("raw_coordonnees", "latitude", "try_cast(latitude as double)"),
+    unreadable("raw_coordonnees", "longitude", "try_cast(longitude as double)"),
+    unreadable("raw_trafic_velo", "coordonnees_geographiques",
+               HALF.format("coordonnees_geographiques", 1) + " + " + HALF.format("coordonnees_geographiques", 2)),
+    unreadable("raw_trafic_routier", "geo_point_2d",
+               HALF.format("geo_point_2d", 1) + " + " + HALF.format("geo_point_2d", 2)),
+    unreadable("raw_stations_velib", "coordonnees_geo_lat", "try_cast(coordonnees_geo_lat as double)"),
+    unreadable("raw_stations_velib", "coordonnees_geo_lon", "try_cast(coordonnees_geo_lon as double)"),
     future("int_air_quality_idf", "air", "date_mesure"),
     future("int_velo_daily", "bikes", "date_jour"),
     future("int_trafic_daily", "roads", "date_jour"),
@@ -240,6 +270,16 @@ REPORT = " union all ".join([
           f"select count(*) from roads where {CLASSIFIED} > 2"),
 ])
 
+
+def reloaded(tables: list[str], raw: str, day: str, first_end: str) -> str:
+    """Days whose newest load has come with the second batch, or has come again with it."""
+    return " union all ".join(
+        f"select '{t}' as table_name, {day} as day from {raw} where {day} is not null group by 2 "
+        f"having max(case when _loaded_at >= timestamp '{first_end}' then _loaded_at end) "
+        f">= coalesce(max(case when _loaded_at < timestamp '{first_end}' then _loaded_at end), timestamp '1900-01-01')"
+        for t in tables)
+
+
 CTES["stations"] = f"""select stationcode, "name" as nom_station, {WHOLE.format('capacity')} as capacite,
     try_cast(coordonnees_geo_lat as double) as latitude, try_cast(coordonnees_geo_lon as double) as longitude,
     nom_arrondissement_communes, code_insee_commune, _loaded_at from (select *, row_number() over (partition by stationcode
@@ -258,6 +298,17 @@ STATEMENTS: dict[str, str] = {
         case when c_custkey % 19 <> 0 then c_custkey % 90 + cast(0.25 as double) end as latitude,
         case when c_custkey % 19 <> 0 then c_custkey % 180 + cast(0.5 as double) end as longitude from customer""",
     "bronze_stream_ingest": 'select compteur_id, sum_counts, "date", date_installation from raw_trafic_velo',
+    "stream_reload": """with runs as (
+            select *, cast(substr("date", 1, 10) as date) as day, 7 as run from raw_trafic_velo union all
+            select *, cast(substr("date", 1, 10) as date), 8 from raw_trafic_velo where hour(_loaded_at) = 8),
+        newest as (select *, max(run) over (partition by day) as last from runs where "date" is not null)
+        select compteur_id, compteur_nom, "name" as nom_site, day as date_jour, cast(sum(n) as bigint) as total_passages_jour,
+            count(*) as nb_mesures_horaires, max(n) as pic_horaire, latitude, longitude
+        from (select *, """ + WHOLE.format("sum_counts") + """ as n,
+            try_cast(split_part(coordonnees_geographiques, ',', 1) as double) as latitude,
+            try_cast(split_part(coordonnees_geographiques, ',', 2) as double) as longitude
+            from newest where run = last and compteur_id is not null) t
+        where n is not null group by compteur_id, compteur_nom, "name", site_id, day, latitude, longitude""",
     "day_slice": """select event_id, ts, user_id, value from events
         where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-11'""",
     "latest_available_day": """select event_id, ts, user_id from events where cast(ts as date) =
@@ -391,7 +442,14 @@ STATEMENTS: dict[str, str] = {
         union all select 'int_trafic_daily', date_jour from roads where date_jour > date '2000-06-01'""",
     "dq_hours_within_day": f"""select arc_id, date_jour, {CLASSIFIED} as total_heures_classees from roads where {CLASSIFIED} > 2""",
     "dq_report": REPORT,
+    "incremental_days": " union all ".join([
+        reloaded(["stg_air_quality", "int_air_quality_idf"], "raw_air_quality", f"cast({PARSE.format('date_debut')} as date)",
+                 "1998-01-25 08:30:00"),
+        reloaded(["stg_trafic_velo", "int_velo_zoned"], "raw_trafic_velo", 'cast(substr("date", 1, 10) as date)',
+                 "1998-01-25 07:30:00"),
+        reloaded(["int_trafic_daily"], "raw_trafic_routier", "cast(substr(t_1h, 1, 10) as date)", "1998-01-25 07:30:00")]),
 }
+STATEMENTS["incremental_silver"] = STATEMENTS["zone_kpi_daily"]
 STATEMENTS["spatial_join_shuffled"] = STATEMENTS["spatial_join"]
 
 ORACLES: dict[str, str] = {name: with_ctes(statement) for name, statement in STATEMENTS.items()}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +22,9 @@ from citylode.operators.dedup import keep_latest_row, newest_first, newest_load_
 from citylode.operators.merge import merge_rows, upsert_table
 from citylode.operators.predicates import after, day_slice, latest_available_day
 from citylode.operators.spatial import ZoneIndex, index_zones, spatial_join
+from citylode.operators.versions import read_table
 from citylode.operators.watermark import Watermarks, delta_start, marks_from, merge_marks
-from citylode.plans import checks, dashboard, gold, nightly, serving, silver
+from citylode.plans import checks, dashboard, gold, increments, nightly, serving, silver
 from citylode.reference_values import CLASSIFIED_HOURS, DATE_COLUMNS, MERGE_KEYS, SITE_SETTINGS
 from citylode.schemas import AIR_COLUMNS, BIKE_COLUMNS, STATION_STATE
 from citylode.session import scratch_path
@@ -92,6 +93,28 @@ class City:
         return stored(
             self.spark, self.sf_dir, name, lambda: MARTS[name](self), DATE_COLUMNS[name])
 
+    def silver(self, name: str) -> DataFrame:
+        """A stored typed, daily or zoned table."""
+        return stored(self.spark, self.sf_dir, name, lambda: SILVER[name](self))
+
+    def document_files(self) -> DataFrame:
+        """Zone documents as they are scanned from files."""
+        return stored(self.spark, self.sf_dir, "raw_arrondissements_paris", lambda: files.read_documents(
+            self.spark, written_documents(geojson_documents(self.spark, self.sf_dir), "zone-files") + "/*"))
+
+    def batched(self) -> nightly.Raw:
+        """Raw tables with load batches: what a first run finds is batch 1, what has come since is batch 2.
+
+        The second batch loads the last days, and one day again of which the first batch holds an earlier load.
+        """
+        def split(name: str, first_end: dt.datetime) -> DataFrame:
+            return self.raw(name).withColumn(increments.BATCH, F.when(F.col("_loaded_at") < F.lit(first_end), 1).otherwise(2))
+
+        return nightly.Raw(
+            split("raw_air_quality", dt.datetime(1998, 1, 25, 8, 30)), self.raw("raw_coordonnees"),
+            split("raw_trafic_velo", dt.datetime(1998, 1, 25, 7, 30)),
+            split("raw_trafic_routier", dt.datetime(1998, 1, 25, 7, 30)), self.documents())
+
     def air_measures(self) -> DataFrame:
         return silver.air_measures(self.raw("raw_air_quality"))
 
@@ -151,6 +174,21 @@ MARTS: dict[str, Callable[[City], DataFrame]] = {
     "dm_zone_kpi_daily": lambda city: city.zone_kpi(),
 }
 
+SILVER: dict[str, Callable[[City], DataFrame]] = {
+    "stg_air_quality": lambda city: city.air_measures(),
+    "stg_coordonnees": lambda city: silver.site_coordinates(city.raw("raw_coordonnees")),
+    "stg_trafic_velo": lambda city: city.bike_counts(),
+    "stg_trafic_routier": lambda city: city.road_counts(),
+    "stg_stations_velib": lambda city: silver.bike_stations(city.raw("raw_stations_velib")),
+    "stg_arrondissements": lambda city: city.zones(),
+    "int_air_quality_idf": lambda city: city.air(),
+    "int_velo_daily": lambda city: city.bikes(),
+    "int_trafic_daily": lambda city: city.roads(),
+    "int_air_quality_zoned": lambda city: city.air_zoned(),
+    "int_trafic_zoned": lambda city: city.road_zoned(),
+    "int_velo_zoned": lambda city: city.bike_zoned(),
+}
+
 AIR_AVERAGES = ("valeur_moyenne", "taux_saisie_moyen")
 CITY_AVERAGES = (
     "no2_moyen", "pm10_moyen", "pm25_moyen", "o3_moyen", "debit_routier_moyen", "taux_occupation_moyen")
@@ -164,12 +202,15 @@ ROAD_AVERAGES = ("debit_moyen", "taux_occupation_moyen")
 
 def written_csv(city: City, name: str, columns: list[str], folder: str) -> str:
     """Write an analog as the semicolon files its source would deliver."""
-    raw = city.raw(name)
-    texts = [(F.col(c) if c in raw.columns else F.lit(None).cast("string")).alias(c) for c in columns]
     path = f"{scratch_path(city.spark, folder)}/1998/01/31/08/00"
+    write_csv(city.raw(name), columns, path)
+    return path
+
+
+def write_csv(raw: DataFrame, columns: list[str], path: str) -> None:
+    texts = [(F.col(c) if c in raw.columns else F.lit(None).cast("string")).alias(c) for c in columns]
     raw.select(*texts).write.options(
         sep=";", header=True, nullValue="", emptyValue='""', escape='"').csv(path)
-    return path
 
 
 @query
@@ -241,6 +282,24 @@ def bronze_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.loaded(spark, f"{work}/raw").select("compteur_id", "sum_counts", "date", "date_installation")
 
 
+@query
+def stream_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bicycle mart of two landed runs, streamed under a new checkpoint each time: no file twice, none lost.
+
+    The second run holds two thirds of the rows again; of a day that it loads, the first run's rows go.
+    """
+    city, root, work = City(spark, sf_dir), scratch_path(spark, "landed"), scratch_path(spark, "reload")
+    raw = city.raw("raw_trafic_velo")
+    late = F.hour("_loaded_at") == 8
+    for run, rows in (("1998/12/31/07/00", raw), ("1998/12/31/08/00", raw.filter(late))):
+        write_csv(rows, BIKE_COLUMNS, f"{root}/{run}")
+        for _ in range(2):
+            ingest.load_new_files(
+                ingest.stream_delimited(spark, root, BIKE_COLUMNS, files_per_batch=8), f"{work}/raw", f"{work}/bad",
+                scratch_path(spark, "checkpoint"))
+    return gold.bike_mart(silver.bike_daily(silver.bike_counts(ingest.loaded(spark, f"{work}/raw"))))
+
+
 @query
 def day_slice_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day_slice(table(spark, sf_dir, "events"), "ts", dt.date(2024, 1, 10)).select(
@@ -499,7 +558,7 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_passages_jour", F.col("total_passages_jour") + 1000)
     for _ in range(2):
         upsert_table(spark, path, corrected, keys, "date_jour")
-    return spark.read.parquet(path).select("compteur_id", "date_jour", "total_passages_jour", "pic_horaire")
+    return read_table(spark, path).select("compteur_id", "date_jour", "total_passages_jour", "pic_horaire")
 
 
 @query
@@ -540,6 +599,36 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs[0].unionByName(runs[1])
 
 
+def two_increments(city: City) -> tuple[dict[str, DataFrame], str]:
+    """Silver tables after a run that finds the first batch and one that finds the second, and where they are."""
+    work, raw = scratch_path(city.spark, "increments"), city.batched()
+    first = nightly.Raw(
+        *[df.filter(F.col(increments.BATCH) == 1) if increments.BATCH in df.columns else df
+          for df in (raw.air, raw.sites, raw.bikes, raw.roads)], raw.zone_documents)
+    increments.refresh_silver(city.spark, first, work, SITES)
+    return increments.refresh_silver(city.spark, raw, work, SITES), work
+
+
+@query
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone indicators from silver tables that two runs have built, each from its new loads."""
+    tables, _ = two_increments(City(spark, sf_dir))
+    return rounded(gold.zone_kpi(
+        tables["int_air_quality_zoned"], tables["int_trafic_zoned"], tables["int_velo_zoned"],
+        tables["stg_arrondissements"]), *ZONE_AVERAGES)
+
+
+@query
+def incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that the second run has made anew, by table."""
+    _, work = two_increments(City(spark, sf_dir))
+    found = [
+        nightly.silver_table(spark, work, name).side(increments.DAYS).filter("changed_in = 2").select(
+            F.lit(name).alias("table_name"), "day")
+        for name in ("stg_air_quality", "int_air_quality_idf", "stg_trafic_velo", "int_velo_zoned", "int_trafic_daily")]
+    return reduce(DataFrame.unionByName, found)
+
+
 # -------------------------------------------------------------------- serving
 
 @query
@@ -768,16 +857,8 @@ def dq_hours_within_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks of the raw and silver tables, one row each."""
+    """All declared checks of all raw, typed, daily and zoned tables, one row each."""
     city = City(spark, sf_dir)
-    tables = {
-        "raw_air_quality": city.raw("raw_air_quality"),
-        "raw_trafic_routier": city.raw("raw_trafic_routier"),
-        "stg_coordonnees": silver.site_coordinates(city.raw("raw_coordonnees")),
-        "stg_stations_velib": silver.bike_stations(city.raw("raw_stations_velib")),
-        "stg_arrondissements": city.zones(),
-        "int_air_quality_idf": city.air(),
-        "int_velo_daily": city.bikes(),
-        "int_trafic_daily": city.roads(),
-    }
+    tables = {name: city.raw(name) for name in ANALOGS if name.startswith("raw_")} | {
+        "raw_arrondissements_paris": city.document_files()} | {name: city.silver(name) for name in SILVER}
     return quality.run_checks(tables, checks.silver_checks(tables, as_of=dt.date(2000, 6, 1), hours=2))

@@ -18,8 +18,10 @@ def newest_load_per_day(raw: DataFrame, day: Column, loaded_at: str = "_loaded_a
         day.alias("load_day")).agg(F.max(loaded_at).alias("newest_load"))
 
 
-def keep_last_load(raw: DataFrame, day: Column, loaded_at: str = "_loaded_at") -> DataFrame:
-    """Rows that belong to the last load of their calendar day.
+def keep_last_load(
+    raw: DataFrame, day: Column, loaded_at: str = "_loaded_at", newest: DataFrame | None = None,
+) -> DataFrame:
+    """Rows that belong to the last load of their calendar day, as found in the rows or given by ``newest``.
 
     The rule is per day over the whole table, not per key: a partial reload of a day replaces every
     earlier row of that day. Rows without a load time never match, nor do rows without a day. A day
@@ -30,7 +32,7 @@ def keep_last_load(raw: DataFrame, day: Column, loaded_at: str = "_loaded_at") -
     of a date and a time however large the input, so it is broadcast: the wide table is neither
     shuffled nor sorted, and a day holding a third of all rows stays spread over its input splits.
     """
-    newest = newest_load_per_day(raw, day, loaded_at)
+    newest = newest_load_per_day(raw, day, loaded_at) if newest is None else newest
     joined = raw.withColumn("load_day_", day).join(
         F.broadcast(newest),
         (F.col("load_day_") == F.col("load_day")) & (F.col(loaded_at) == F.col("newest_load")), "left")

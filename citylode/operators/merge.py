@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylode.operators.dedup import keep_latest_row
-from citylode.operators.predicates import MONTH, with_month
-from citylode.operators.slots import SlotTable, read_if_present
+from citylode.operators.predicates import with_month
+from citylode.operators.storage import remove
+from citylode.operators.versions import VersionedTable, months_in
 from citylode.session import scratch_path
 
 
@@ -46,69 +47,25 @@ def upsert_table(
     spark: SparkSession, path: str, source: DataFrame, keys: list[str],
     date_column: str | None = None,
 ) -> None:
-    """Upsert into a Parquet table, rewriting only the months the source touches.
+    """Upsert into a versioned table, rewriting only the months the source touches.
 
     The source is written out once, so that it is not evaluated again by each step. With a date
-    column (part of the key), the target scan is cut to the months the source names, and dynamic
-    partition overwrite replaces just those. The merged rows are complete in a scratch
-    table, and noted as pending, before the target changes: the next upsert re-applies whatever a
-    lost run left pending.
+    column (part of the key), only months that the source names are read, merged and published as a
+    new version; the others keep their folders. Readers see the version before or the one after, and
+    a writer that is lost leaves the one before.
     """
-    partitioned = date_column is not None
-    finish_pending(spark, path, partitioned)
-    staged_source = scratch_path(spark, "upsert-source")
-    (with_month(source, date_column) if partitioned else source).write.parquet(staged_source)
-    source = spark.read.parquet(staged_source)
-    if source.isEmpty():
-        return
-    target = read_if_present(spark, path)
-    if target is None:
-        merged = one_row_per_key(source, keys)
-    else:
-        if partitioned:
-            # Rows without a date have no month; they are a partition like any other.
-            first, last = source.agg(F.min(MONTH), F.max(MONTH)).first()
-            named = F.lit(False) if first is None else F.col(MONTH).between(F.lit(first), F.lit(last))
-            touched = source.select(F.col(MONTH).alias("touched_month")).distinct()
-            target = target.filter(named | F.col(MONTH).isNull()).join(
-                touched, F.col(MONTH).eqNullSafe(F.col("touched_month")), "left_semi")
-        merged = merge_rows(target.select(source.columns), source, keys)
-    merged_path = scratch_path(spark, "upsert-merged")
-    merged.write.parquet(merged_path)
-    note(spark, path, merged_path, done=False)
-    save(spark.read.parquet(merged_path), path, partitioned)
-    note(spark, path, merged_path, done=True)
-
-
-def journal(spark: SparkSession, path: str) -> SlotTable:
-    """The table's last overwrite: where its complete rows are, and whether it has finished."""
-    return SlotTable(spark, f"{path}__journal")
-
-
-def note(spark: SparkSession, path: str, merged_path: str, done: bool) -> None:
-    journal(spark, path).replace(spark.range(1).select(
-        F.lit(merged_path).alias("merged_path"), F.lit(done).alias("done")))
-
-
-def finish_pending(spark: SparkSession, path: str, partitioned: bool) -> None:
-    """Re-apply an overwrite that was noted as pending but never as done."""
-    last = journal(spark, path).read()
-    entry = last and last.first()
-    if entry and not entry["done"]:
-        save(spark.read.parquet(entry["merged_path"]), path, partitioned)
-        note(spark, path, entry["merged_path"], done=True)
-
-
-def save(df: DataFrame, path: str, partitioned: bool) -> None:
-    """Overwrite a table, or just the months present in the rows.
-
-    Rebalancing gathers a month's rows into few files, and adaptive execution splits a month that
-    is too large for one task.
-    """
-    if not partitioned:
-        df.write.mode("overwrite").parquet(path)
-        return
-    (
-        df.hint("rebalance", MONTH).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    )
+    table = VersionedTable(spark, path, date_column)
+    staged = scratch_path(spark, "upsert-source")
+    (source if date_column is None else with_month(source, date_column)).write.parquet(staged)
+    try:
+        source = spark.read.parquet(staged)
+        if source.isEmpty():
+            return
+        # Rows without a date have no month; they are a part like any other.
+        months = None if date_column is None else months_in(source)
+        target = table.read(months)
+        merged = one_row_per_key(source, keys) if target is None else merge_rows(
+            target.select(source.columns), source, keys)
+        table.commit(merged, months)
+    finally:
+        remove(spark, staged)

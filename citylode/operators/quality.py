@@ -1,7 +1,7 @@
 """Declarative data-quality checks.
 
 A check gives a number of failures: rows with a missing value, key values that occur twice,
-unexpected values, rows that break a rule. All row-level checks of a table share one aggregate pass.
+unexpected values, rows that break a rule. All checks of a table share one pass over it.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citylode.functions import casts
+
 ERROR, WARN = "error", "warn"
 
 
@@ -76,13 +78,10 @@ class Unique:
     def name(self) -> str:
         return "unique:" + "|".join(self.columns)
 
-    def offenders(self, df: DataFrame) -> DataFrame:
-        return repeated_keys(df, list(self.columns))
-
 
 @dataclass(frozen=True)
 class Accepted:
-    """Values outside a list; missing values pass."""
+    """Distinct values outside a list; missing values pass."""
     table: str
     column: str
     values: tuple[str, ...]
@@ -92,8 +91,23 @@ class Accepted:
     def name(self) -> str:
         return f"accepted_values:{self.column}"
 
-    def offenders(self, df: DataFrame) -> DataFrame:
-        return unexpected_values(df, self.column, list(self.values))
+
+@dataclass(frozen=True)
+class Readable:
+    """Texts that are there but cannot be read as a number, or as a pair of coordinates."""
+    table: str
+    column: str
+    pair: bool = False
+    severity: str = WARN
+
+    @property
+    def name(self) -> str:
+        return f"readable:{self.column}"
+
+    def broken(self) -> Column:
+        text = F.col(self.column)
+        value = casts.latitude(text) + casts.longitude(text) if self.pair else casts.number(text)
+        return (F.trim(F.coalesce(text, F.lit(""))) != "") & value.isNull()
 
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -132,26 +146,59 @@ def hours_over(daily: DataFrame, hour_columns: list[str], keys: list[str], limit
 
 
 def run_checks(tables: dict[str, DataFrame], checks: list) -> DataFrame:
-    """Evaluate checks as one DataFrame (check_name, table_name, severity, failures)."""
-    parts = []
-    for table in dict.fromkeys(c.table for c in checks):
-        mine = [c for c in checks if c.table == table]
-        row_level = [c for c in mine if hasattr(c, "broken")]
-        if row_level:
-            counted = tables[table].agg(
-                *[F.count_if(c.broken()).alias(f"n{i}") for i, c in enumerate(row_level)])
-            parts.append(counted.select(F.inline(F.array(*[
-                F.struct(
-                    F.lit(c.name).alias("check_name"), F.lit(table).alias("table_name"),
-                    F.lit(c.severity).alias("severity"), F.col(f"n{i}").alias("failures"))
-                for i, c in enumerate(row_level)
-            ]))))
-        for c in mine:
-            if not hasattr(c, "broken"):
-                parts.append(c.offenders(tables[table]).agg(
-                    F.lit(c.name).alias("check_name"), F.lit(table).alias("table_name"),
-                    F.lit(c.severity).alias("severity"), F.count(F.lit(1)).alias("failures")))
-    return reduce(DataFrame.unionByName, parts)
+    """Evaluate checks as one DataFrame (check_name, table_name, severity, failures), one pass over each table."""
+    return reduce(DataFrame.unionByName, [
+        table_report(tables[table], [c for c in checks if c.table == table])
+        for table in dict.fromkeys(c.table for c in checks)])
+
+
+def table_report(df: DataFrame, checks: list) -> DataFrame:
+    """All checks of one table from one expanded aggregate.
+
+    The whole table is one grouping set, in which rows that break a rule are counted; each key and each
+    label is another, in which groups are: values of a key that occur twice, and labels outside their list
+    (listed ones are taken as missing before, so that only the others are shuffled). Equal keys are counted
+    where they are read.
+    """
+    rules = [c for c in checks if hasattr(c, "broken")]
+    columns: dict[str, Column] = {}  # what is grouped by
+    sets: list[list[str]] = []
+    for c in checks:
+        if isinstance(c, Unique):
+            columns |= {f"key_{name}": F.col(name) for name in c.columns}
+            sets.append([f"key_{name}" for name in c.columns])
+        elif isinstance(c, Accepted):
+            columns[f"label_{c.column}"] = F.when(~F.col(c.column).isin(list(c.values)), F.col(c.column))
+            sets.append([f"label_{c.column}"])
+    counted = [F.count_if(F.col(f"broken_{i}")).alias(f"broken_{i}") for i in range(len(rules))]
+    flags = [c.broken().alias(f"broken_{i}") for i, c in enumerate(rules)]
+    names = list(columns)
+    if not names:
+        grouped = df.select(*flags).agg(*counted)
+    else:
+        grouped = df.select(*flags, *[e.alias(n) for n, e in columns.items()]).groupingSets([[], *sets], *names).agg(
+            *counted, F.count(F.lit(1)).alias("rows"), F.grouping_id(*names).alias("grouping"))
+
+    def grouping(members: list[str]) -> int:
+        """The number of a grouping set: a bit for each column that is not in it, the first column highest."""
+        return sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n not in members)
+
+    def failures(c, i: int) -> Column:
+        if hasattr(c, "broken"):
+            n = F.col(f"broken_{i}")
+            return F.coalesce(F.max(n if not names else F.when(F.col("grouping") == grouping([]), n)), F.lit(0))
+        members = [f"key_{n}" for n in c.columns] if isinstance(c, Unique) else [f"label_{c.column}"]
+        there = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in members])
+        least = 2 if isinstance(c, Unique) else 1
+        return F.count_if((F.col("grouping") == grouping(members)) & there & (F.col("rows") >= least))
+
+    found = grouped.agg(*[
+        failures(c, rules.index(c) if c in rules else -1).alias(f"n{i}") for i, c in enumerate(checks)])
+    return found.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"),
+            F.lit(c.severity).alias("severity"), F.col(f"n{i}").cast("long").alias("failures"))
+        for i, c in enumerate(checks)])))
 
 
 class QualityError(RuntimeError):

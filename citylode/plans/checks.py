@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from citylode.operators.quality import WARN, Accepted, AtMost, NotAfter, NotNull, Unique
+from citylode.operators.quality import WARN, Accepted, AtMost, NotAfter, NotNull, Readable, Unique
 from citylode.reference_values import CLASSIFIED_HOURS, QUALITY_CODES, SITE_SETTINGS, TRAFFIC_STATES
 
 # Columns that must be present.
@@ -58,6 +58,16 @@ DATED = [
     ("int_trafic_daily", "date_jour"),
 ]
 
+# Coordinates: what cannot be read becomes NULL and is reported.
+COORDINATES = [
+    ("raw_coordonnees", "latitude", False),
+    ("raw_coordonnees", "longitude", False),
+    ("raw_trafic_velo", "coordonnees_geographiques", True),
+    ("raw_trafic_routier", "geo_point_2d", True),
+    ("raw_stations_velib", "coordonnees_geo_lat", False),
+    ("raw_stations_velib", "coordonnees_geo_lon", False),
+]
+
 HOURS_IN_DAY = 24
 
 
@@ -67,6 +77,7 @@ def silver_checks(tables: Iterable[str], as_of: dt.date | None = None, hours: in
     checks = [NotNull(t, c) for t, columns in REQUIRED.items() for c in columns]
     checks += [Unique(t, key) for t, key in KEYS]
     checks += [Accepted(t, c, tuple(values), WARN) for t, c, values in LABELS]
+    checks += [Readable(t, c, pair) for t, c, pair in COORDINATES]
     checks += [NotAfter(t, c, as_of) for t, c in DATED]
     checks.append(AtMost("int_trafic_daily", tuple(CLASSIFIED_HOURS), hours))
     return [c for c in checks if c.table in wanted]

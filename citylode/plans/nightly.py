@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from citylode.operators.merge import upsert_table
 from citylode.operators.quality import gate, run_checks
 from citylode.operators.spatial import index_zones
+from citylode.operators.versions import VersionedTable
 from citylode.operators.watermark import Watermarks, delta_start
 from citylode.plans import gold, silver
 from citylode.plans.checks import silver_checks
@@ -34,6 +35,11 @@ class Raw:
 
 # name -> date column, whose month partitions the table
 SILVER_LAYOUT = {
+    "stg_air_quality": "date_debut",
+    "stg_coordonnees": None,
+    "stg_trafic_velo": "date_jour",
+    "stg_trafic_routier": "date_jour",
+    "stg_stations_velib": None,
     "stg_arrondissements": None,
     "int_air_quality_idf": "date_mesure",
     "int_velo_daily": "date_jour",
@@ -43,6 +49,9 @@ SILVER_LAYOUT = {
     "int_velo_zoned": "date_jour",
 }
 
+# Checks the tables of a stage; raises if they must not be built upon.
+Check = Callable[[str, dict[str, DataFrame]], None]
+
 
 def side_by_side(work: dict[str, Callable[[], object]], threads: int = 4) -> dict[str, object]:
     """Submit independent jobs together, so that one's last tasks do not leave the cluster idle.
@@ -54,29 +63,59 @@ def side_by_side(work: dict[str, Callable[[], object]], threads: int = 4) -> dic
     return {name: future.result() for name, future in futures.items()}
 
 
+def silver_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root}/silver/{name}", SILVER_LAYOUT[name])
+
+
+def raw_tables(raw: Raw) -> dict[str, DataFrame]:
+    """The raw tables that are there, by name."""
+    named = {
+        "raw_air_quality": raw.air, "raw_coordonnees": raw.sites, "raw_trafic_velo": raw.bikes,
+        "raw_trafic_routier": raw.roads, "raw_stations_velib": raw.stations,
+        "raw_arrondissements_paris": raw.zone_documents}
+    return {name: df for name, df in named.items() if df is not None}
+
+
 def build_silver(
-    spark: SparkSession, raw: Raw, root: str, sites=REGION_SITES,
+    spark: SparkSession, raw: Raw, root: str, sites=REGION_SITES, check: Check | None = None,
 ) -> dict[str, DataFrame]:
-    """Write the silver tables: typed tables first, then those placed into zones."""
+    """Full refresh: typed tables first, from them the daily ones, then those placed into zones.
+
+    ``check`` sees the raw and typed tables before anything is looked up in or derived from them, and the
+    daily and zoned ones at the end.
+    """
     def put(builders: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         return side_by_side({
-            name: lambda name=name, build=build: silver.materialise(
-                spark, build(), f"{root}/silver/{name}", SILVER_LAYOUT[name])
+            name: lambda name=name, build=build: silver_table(spark, root, name).commit(build())
             for name, build in builders.items()})
 
-    tables = put({
+    typed = {
         "stg_arrondissements": lambda: silver.zones(raw.zone_documents),
+        "stg_air_quality": lambda: silver.air_measures(raw.air),
+        "stg_coordonnees": lambda: silver.site_coordinates(raw.sites),
+        "stg_trafic_velo": lambda: silver.bike_counts(raw.bikes),
+        "stg_trafic_routier": lambda: silver.road_counts(raw.roads),
+    }
+    if raw.stations is not None:
+        typed["stg_stations_velib"] = lambda: silver.bike_stations(raw.stations)
+    staged = put(typed)
+    if check is not None:
+        check("staging", raw_tables(raw) | staged)
+    daily = put({
         "int_air_quality_idf": lambda: silver.air_region(
-            silver.air_measures(raw.air), silver.site_coordinates(raw.sites), sites),
-        "int_velo_daily": lambda: silver.bike_daily(silver.bike_counts(raw.bikes)),
-        "int_trafic_daily": lambda: silver.road_daily(silver.road_counts(raw.roads)),
+            staged["stg_air_quality"], staged["stg_coordonnees"], sites),
+        "int_velo_daily": lambda: silver.bike_daily(staged["stg_trafic_velo"]),
+        "int_trafic_daily": lambda: silver.road_daily(staged["stg_trafic_routier"]),
     })
-    index = index_zones(tables["stg_arrondissements"])
-    return tables | put({
-        "int_air_quality_zoned": lambda: silver.air_zoned(tables["int_air_quality_idf"], index),
-        "int_trafic_zoned": lambda: silver.road_zoned(tables["int_trafic_daily"], index),
-        "int_velo_zoned": lambda: silver.bike_zoned(tables["int_velo_daily"], index),
+    index = index_zones(staged["stg_arrondissements"])
+    daily |= put({
+        "int_air_quality_zoned": lambda: silver.air_zoned(daily["int_air_quality_idf"], index),
+        "int_trafic_zoned": lambda: silver.road_zoned(daily["int_trafic_daily"], index),
+        "int_velo_zoned": lambda: silver.bike_zoned(daily["int_velo_daily"], index),
     })
+    if check is not None:
+        check("silver", daily)
+    return staged | daily
 
 
 def marts(tables: dict[str, DataFrame]) -> dict[str, Callable[[dt.date | None], DataFrame]]:
@@ -167,19 +206,27 @@ def report(spark: SparkSession, exported: dict[str, Exported]) -> DataFrame:
     return spark.createDataFrame([(d, e.rows) for d, e in exported.items()], "dataset string, n bigint")
 
 
+def stored_gate(root: str, run: dt.datetime) -> Check:
+    """Checks a stage's tables, stores the report with the run, warnings included, and stops on errors."""
+    def check(stage: str, tables: dict[str, DataFrame]) -> None:
+        path = f"{root}/checks/run={run:%Y%m%d%H%M%S%f}/stage={stage}"
+        run_checks(tables, silver_checks(tables)).write.mode("overwrite").parquet(path)
+        gate(next(iter(tables.values())).sparkSession.read.parquet(path))
+
+    return check
+
+
 def run_day(
     spark: SparkSession, raw: Raw, root: str, run: dt.datetime | None = None, lookback_days: int = 0,
-    sites=REGION_SITES,
+    sites=REGION_SITES, refresh: Callable[..., dict[str, DataFrame]] = build_silver,
 ) -> dict[str, Exported]:
-    """The whole daily run. A failed check of severity error stops it before the marts.
+    """The whole daily run. A failed check of severity error stops it: on raw and typed tables before anything
+    is derived from them, on the others before the marts.
 
-    The report of the checks, warnings included, is stored with the run.
+    ``refresh`` is ``build_silver``, or ``increments.refresh_silver`` where raw tables tell their load batches.
     """
     run = run or dt.datetime.now(dt.timezone.utc)
-    tables = build_silver(spark, raw, root, sites)
-    report_path = f"{root}/checks/run={run:%Y%m%d%H%M%S%f}"
-    run_checks(tables, silver_checks(tables)).write.mode("overwrite").parquet(report_path)
-    gate(spark.read.parquet(report_path))
+    tables = refresh(spark, raw, root, sites, stored_gate(root, run))
     marks = Watermarks(spark, f"{root}/watermark")
     exported = export_marts(marts(tables), root, marks, run, lookback_days, advance=False)
     load_serving(spark, exported, root, marks)

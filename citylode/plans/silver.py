@@ -24,11 +24,30 @@ ZONE = ["arrondissement_code", "nom_arrondissement"]
 
 # ---------------------------------------------------------------- air quality
 
-def air_measures(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Hourly measures of the last load of each day, typed."""
+def air_day(strict: bool = True) -> Column:
+    """The day of a raw measure."""
+    return casts.stamp(F.col("date_debut"), strict).cast("date")
+
+
+def bike_day() -> Column:
+    """The day of a raw bicycle count."""
+    return casts.iso_day(F.col("date"))
+
+
+def road_day() -> Column:
+    """The day of a raw road measure."""
+    return casts.iso_day(F.col("t_1h"))
+
+
+def air_measures(raw: DataFrame, strict: bool = True, newest: DataFrame | None = None) -> DataFrame:
+    """Hourly measures of the last load of each day, typed.
+
+    Which load is the last may be given by ``newest``, here and in the other tables, for rows that are only
+    some of those of their days.
+    """
     begun = raw.filter(F.col("date_debut").isNotNull()).withColumn(
         "date_debut", casts.stamp(F.col("date_debut"), strict))
-    latest = keep_last_load(begun, F.col("date_debut").cast("date")).filter(
+    latest = keep_last_load(begun, F.col("date_debut").cast("date"), newest=newest).filter(
         F.col("code_site").isNotNull())
     return latest.withColumns({
         "date_fin": casts.stamp(F.col("date_fin"), strict),
@@ -63,10 +82,10 @@ def air_region(
 
 # ------------------------------------------------------------------- mobility
 
-def bike_counts(raw: DataFrame) -> DataFrame:
+def bike_counts(raw: DataFrame, newest: DataFrame | None = None) -> DataFrame:
     """Hourly bicycle counts of the last load of each day, typed."""
-    day = casts.iso_day(F.col("date"))
-    latest = keep_last_load(raw.filter(F.col("date").isNotNull()), day).filter(
+    day = bike_day()
+    latest = keep_last_load(raw.filter(F.col("date").isNotNull()), day, newest=newest).filter(
         F.col("compteur_id").isNotNull())
     place = F.col("coordonnees_geographiques")
     return latest.select(
@@ -78,10 +97,10 @@ def bike_counts(raw: DataFrame) -> DataFrame:
         "mois_annee_comptage", "_loaded_at", "_file_name")
 
 
-def road_counts(raw: DataFrame) -> DataFrame:
+def road_counts(raw: DataFrame, newest: DataFrame | None = None) -> DataFrame:
     """Hourly road measures of the last load of each day, typed."""
-    day = casts.iso_day(F.col("t_1h"))
-    latest = keep_last_load(raw.filter(F.col("t_1h").isNotNull()), day).filter(
+    day = road_day()
+    latest = keep_last_load(raw.filter(F.col("t_1h").isNotNull()), day, newest=newest).filter(
         F.col("iu_ac").isNotNull())
     place = F.col("geo_point_2d")
     return latest.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -12,6 +12,9 @@ from citylode.sources.landing import run_stamp
 
 CORRUPT = "_corrupt_record"
 
+# What tells one landed file from another, beside its path.
+FILE_COLUMNS = ["_file_size", "_file_modified"]
+
 # A value that no field holds. With it, an empty field is NULL and a quoted empty field is ''.
 NO_NULL_TEXT = "\u0001"
 
@@ -64,7 +67,7 @@ def split_corrupt(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
     Spark refuses a file scan that needs the corrupt-record column alone, as a plain count of good
     rows would. The always true length test makes every query need a data column as well.
     """
-    fields = [c for c in scan.columns if c not in (CORRUPT, "_file_name", "_loaded_at")]
+    fields = [c for c in scan.columns if c not in (CORRUPT, "_file_name", "_loaded_at", *FILE_COLUMNS)]
     scan = scan.filter(F.length(F.coalesce(F.col(fields[0]), F.lit(""))) >= 0)
     good = scan.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     present = F.size(F.array_compact(F.array(*fields))).alias("fields_present")
@@ -73,29 +76,53 @@ def split_corrupt(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def station_record(corrupt: bool = False) -> StructType:
+    return StructType([*STATION_RECORD.fields, *([StructField(CORRUPT, StringType())] if corrupt else [])])
+
+
+def station_columns(scan: DataFrame) -> list[Column]:
+    """The flat columns of scanned station records, and whatever the scan has added."""
+    added = [c for c in scan.columns if c not in STATION_RECORD.fieldNames()]
+    return [
+        F.col("stationcode"), F.col("name"), F.col("capacity"),
+        F.col("coordonnees_geo.lat").alias("coordonnees_geo_lat"),
+        F.col("coordonnees_geo.lon").alias("coordonnees_geo_lon"),
+        F.col("nom_arrondissement_communes"), F.col("code_insee_commune"), *[F.col(c) for c in added]]
+
+
 def read_stations(
     spark: SparkSession, path: str | list[str], loaded_at: str = "run", array_files: bool = True,
 ) -> DataFrame:
     """Station records from files holding one JSON array each (or, splittable, one array per line)."""
-    scan = spark.read.schema(STATION_RECORD).option("multiLine", array_files).json(path)
-    return with_lineage(scan, loaded_at).select(
-        "stationcode", "name", "capacity",
-        F.col("coordonnees_geo.lat").alias("coordonnees_geo_lat"),
-        F.col("coordonnees_geo.lon").alias("coordonnees_geo_lon"),
-        "nom_arrondissement_communes", "code_insee_commune", "_file_name", "_loaded_at",
-    )
+    scan = with_lineage(spark.read.schema(station_record()).option("multiLine", array_files).json(path), loaded_at)
+    return scan.select(*station_columns(scan))
+
+
+def document_columns() -> list[Column]:
+    """A whole file's text as a variant, or as it is in the corrupt-record column if it is not JSON."""
+    parsed = F.try_parse_json("value")
+    return [parsed.alias("raw_geojson"), F.when(parsed.isNull(), F.coalesce("value", F.lit(""))).alias(CORRUPT)]
+
+
+def scan_documents(spark: SparkSession, path: str | list[str], loaded_at: str = "run") -> DataFrame:
+    """One row per file, as a variant; a file that is not JSON has its text in ``_corrupt_record``."""
+    scan = with_lineage(spark.read.text(path, wholetext=True), loaded_at)
+    return scan.select(*document_columns(), "_file_name", "_loaded_at")
+
+
+def split_documents(scan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents, and the files that are none: their text and name."""
+    bad = scan.filter(F.col(CORRUPT).isNotNull()).select(
+        CORRUPT, F.lit(0).alias("fields_present"), "_file_name", "_loaded_at")
+    return scan.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
 
 
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One row per JSON file, its content as a variant; files that are not JSON are skipped."""
-    scan = spark.read.text(path, wholetext=True)
-    return with_lineage(scan).select(
-        F.try_parse_json("value").alias("raw_geojson"), "_file_name", "_loaded_at",
-    ).filter(F.col("raw_geojson").isNotNull())
+    """One row per JSON file, its content as a variant; see ``split_documents`` for files that are not JSON."""
+    return split_documents(scan_documents(spark, path))[0]
 
 
 def read_lowered(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Parquet with lower-case column names."""
     df = spark.read.parquet(path) if isinstance(path, str) else spark.read.parquet(*path)
     return df.toDF(*[c.lower() for c in df.columns])
-

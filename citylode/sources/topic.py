@@ -12,20 +12,23 @@ from citylode.schemas import STATION_STATE
 from citylode.sources.files import CORRUPT
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest") -> DataFrame:
+def read_topic(
+    spark: SparkSession, servers: str, topic: str, starting: str = "latest", messages_per_batch: int = 1_000_000,
+) -> DataFrame:
     """Stream of JSON messages (value, position). Needs Spark's Kafka connector on the class path."""
     raw = (
         spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic).option("startingOffsets", starting).load()
+        .option("subscribe", topic).option("startingOffsets", starting)
+        .option("maxOffsetsPerTrigger", messages_per_batch).load()
     )
     return raw.select(
         F.col("value").cast("string").alias("value"), F.col("offset").cast("double").alias("position"))
 
 
-def read_message_files(spark: SparkSession, path: str) -> DataFrame:
+def read_message_files(spark: SparkSession, path: str, files_per_batch: int = 1_000) -> DataFrame:
     """The same stream from text files, one message per line; the position is the file's arrival."""
     arrived = F.unix_micros(F.col("_metadata.file_modification_time")).cast("double")
-    return spark.readStream.text(path).select("value", arrived.alias("position"))
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path).select("value", arrived.alias("position"))
 
 
 def decode(messages: DataFrame) -> DataFrame:

@@ -1,46 +1,162 @@
-"""Continuous loading of landed files into raw tables."""
+"""Continuous loading of landed files into raw tables, each file once.
+
+Which files have been loaded is kept in a ledger beside the table: path, size and modification time. It does
+not depend on the stream's checkpoint, so a new checkpoint neither loads a file again nor touches what is there.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+
+from citylode.operators.predicates import MONTH, month_of
+from citylode.operators.storage import remove
+from citylode.operators.versions import VersionedTable, months_in
+from citylode.session import scratch_path
+from citylode.sources.files import (
+    FILE_COLUMNS, corruptible, delimited_options, document_columns, split_corrupt, station_columns, station_record,
+    with_lineage,
+)
+
+FILES_PER_BATCH = 1_000
+BATCH = "batch"
+ENTRY = ["_file_name", *FILE_COLUMNS]
+Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+
+
+def with_file(scan: DataFrame, loaded_at: str) -> DataFrame:
+    """A streamed scan with lineage and with the size and time of each row's file."""
+    return with_lineage(scan, loaded_at).withColumns({
+        "_file_size": F.col("_metadata.file_size"),
+        "_file_modified": F.col("_metadata.file_modification_time").cast("timestamp_ntz")})
+
 
-from citylode.sources.files import corruptible, delimited_options, split_corrupt, with_lineage
+def reader(spark: SparkSession, files_per_batch: int):
+    """Bounded batches, so that a backlog is taken in steps."""
+    return spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
 
 
 def stream_delimited(
-    spark: SparkSession, path: str, columns: list[str], loaded_at: str = "arrival",
+    spark: SparkSession, path: str, columns: list[str], loaded_at: str = "run", files_per_batch: int = FILES_PER_BATCH,
+) -> DataFrame:
+    """Rows of the delimited files below a landing folder; see ``files.with_lineage`` for ``loaded_at``."""
+    scan = reader(spark, files_per_batch).schema(corruptible(columns)).options(**delimited_options()).csv(path)
+    return with_file(scan, loaded_at)
+
+
+def stream_stations(
+    spark: SparkSession, path: str, loaded_at: str = "run", files_per_batch: int = FILES_PER_BATCH,
+) -> DataFrame:
+    """Station records of the files below a folder that hold a JSON array each."""
+    scan = reader(spark, files_per_batch).schema(station_record(corrupt=True)).options(
+        multiLine="true", mode="PERMISSIVE").json(path)
+    scan = with_file(scan, loaded_at)
+    return scan.select(*station_columns(scan))
+
+
+def stream_documents(
+    spark: SparkSession, path: str, loaded_at: str = "run", files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
-    """Stream of the files below a landing folder. Each file is taken once per checkpoint."""
-    reader = spark.readStream.schema(corruptible(columns)).options(**delimited_options())
-    return with_lineage(reader.option("recursiveFileLookup", "true").csv(path), loaded_at)
+    """The JSON documents below a folder, one row per file. To be loaded with ``files.split_documents``."""
+    scan = with_file(reader(spark, files_per_batch).option("wholetext", "true").text(path), loaded_at)
+    return scan.select(*document_columns(), "_file_name", "_loaded_at", *FILE_COLUMNS)
 
 
-def load_new_files(stream: DataFrame, table: str, quarantine: str, checkpoint: str):
-    """Append everything that has arrived, good rows and malformed ones apart, then stop.
+class Ledger:
+    """The files that have been loaded into a table, in months of their modification.
 
-    Both tables are written per micro-batch under its batch number, so a batch that is run again
-    after a failure replaces its own output. The checkpoint is the load history.
+    A batch's entries are published together with its number, in one step, after its rows have been written:
+    rows of a batch that was never published do not count, and the next batch takes its number.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        good, bad = split_corrupt(batch)
-        good.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.entries = VersionedTable(spark, f"{table.rstrip('/')}__ledger", "_file_modified")
+
+    def last(self) -> int:
+        return int(self.entries.manifest().notes.get(BATCH, 0))
+
+    def schema(self) -> StructType | None:
+        """The columns of the loaded rows."""
+        found = self.entries.manifest().notes.get("schema")
+        return found and StructType.fromJson(json.loads(found))
+
+    def unknown(self, files: DataFrame) -> DataFrame:
+        """Those of some files, few as they are a batch, that have not been loaded. Only their months are read."""
+        known = self.entries.read(months_in(files.withColumn(MONTH, month_of(F.col("_file_modified")))))
+        if known is None:
+            return files
+        loaded = known.join(F.broadcast(files), ENTRY, "left_semi").select(*ENTRY)
+        return files.join(F.broadcast(loaded), ENTRY, "left_anti")
+
+    def add(self, files: DataFrame, number: int, schema: StructType) -> None:
+        files = files.withColumn(BATCH, F.lit(number))
+        months = months_in(files.withColumn(MONTH, month_of(F.col("_file_modified"))))
+        known = self.entries.read(months)
+        self.entries.commit(
+            files if known is None else known.drop(MONTH).unionByName(files), months,
+            {BATCH: number, "schema": json.dumps(schema.jsonValue())})
+
+
+def load_batch(batch: DataFrame, table: str, quarantine: str, split: Split = split_corrupt) -> int:
+    """Append the rows of those files of a batch that the table has not got yet; gives their number.
+
+    Good rows and malformed ones go to their tables under the batch's number in the ledger.
+    """
+    spark = batch.sparkSession
+    ledger = Ledger(spark, table)
+    staged = scratch_path(spark, "files")
+    batch.persist()
+    try:
+        batch.select(*ENTRY).distinct().coalesce(1).write.parquet(f"{staged}/found")
+        found = spark.read.parquet(f"{staged}/found")
+        ledger.unknown(found).coalesce(1).write.parquet(f"{staged}/new")
+        files = spark.read.parquet(f"{staged}/new")
+        count = files.count()
+        if not count:
+            return 0
+        if count < found.count():
+            batch = batch.join(F.broadcast(files), ENTRY, "left_semi")
+        good, bad = (part.drop(*FILE_COLUMNS) for part in split(batch))
+        number = ledger.last() + 1
+        good.write.mode("overwrite").parquet(f"{table}/{BATCH}={number}")
+        bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={number}")
+        ledger.add(files, number, good.schema)
+        return count
+    finally:
         batch.unpersist()
+        remove(spark, staged)
+
 
+def load_new_files(stream: DataFrame, table: str, quarantine: str, checkpoint: str, split: Split = split_corrupt):
+    """Append everything that has arrived, good rows and malformed ones apart, then stop."""
     query = (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start())
+        stream.writeStream.foreachBatch(lambda batch, _: load_batch(batch, table, quarantine, split))
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
     return query
 
 
-def loaded(spark: SparkSession, table: str) -> DataFrame:
-    """A table written by ``load_new_files``."""
-    return spark.read.parquet(table).drop("batch")
+def loaded_batches(spark: SparkSession, table: str) -> DataFrame | None:
+    """A table written by ``load_new_files`` with the batch of each row; None before the first one."""
+    ledger = Ledger(spark, table)
+    schema = ledger.schema()
+    if schema is None:
+        return None
+    whole = StructType([*schema.fields, StructField(BATCH, IntegerType())])
+    return spark.read.schema(whole).parquet(table).filter(F.col(BATCH) <= ledger.last())
+
+
+def loaded(spark: SparkSession, table: str) -> DataFrame | None:
+    """The rows of a table written by ``load_new_files``; None before the first batch."""
+    rows = loaded_batches(spark, table)
+    return None if rows is None else rows.drop(BATCH)
 
 
 def has_text(column: str) -> Column:
     """Neither missing nor empty."""
     return F.coalesce(F.col(column), F.lit("")) != ""
+

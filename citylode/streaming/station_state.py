@@ -65,13 +65,20 @@ class StateTable:
 def follow(
     decoded: DataFrame, table: StateTable, quarantine: str, checkpoint: str, once: bool = True,
 ):
-    """Keep the state table current from a decoded stream; undecodable messages go to quarantine."""
+    """Keep the state table current from a decoded stream; undecodable messages go to quarantine.
+
+    The quarantine is written by stream and batch, so that a batch that is run again replaces its own messages
+    and a stream of another checkpoint leaves them alone.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch.persist()
-        bad = batch.filter(F.col("bad_message").isNotNull())
-        bad.select("bad_message").write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
-        table.put(batch.filter(F.col("bad_message").isNull()))
-        batch.unpersist()
+        try:
+            bad = batch.filter(F.col("bad_message").isNotNull())
+            bad.select("bad_message").write.mode("overwrite").parquet(f"{quarantine}/stream={stream}/batch={batch_id}")
+            table.put(batch.filter(F.col("bad_message").isNull()))
+        finally:
+            batch.unpersist()
 
     writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if once:

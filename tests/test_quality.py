@@ -41,6 +41,37 @@ def test_row_checks_of_a_table_share_a_pass(table):
     assert report._jdf.queryExecution().executedPlan().toString().count("ExistingRDD") == 1
 
 
+def test_all_checks_of_a_table_share_a_pass(table):
+    report = run_checks({"t": table}, [
+        NotNull("t", "k"), Unique("t", ("k",)), Unique("t", ("k", "label")), Accepted("t", "label", ("x",), WARN)])
+    assert rows(report.select("failures")) == [(0,), (1,), (1,), (2,)]
+    assert report._jdf.queryExecution().executedPlan().toString().count("ExistingRDD") == 1
+
+
+def test_checks_of_an_empty_table(spark, table):
+    report = run_checks({"t": table.limit(0)}, [
+        NotNull("t", "k"), Unique("t", ("k",)), Accepted("t", "label", ("x",)), AtMost("t", ("hours",), 1)])
+    assert rows(report.select("failures")) == [(0,)] * 4
+    assert rows(run_checks({"t": table.limit(0)}, [NotNull("t", "k")]).select("failures")) == [(0,)]
+
+
+def test_repeated_sites_and_unreadable_coordinates_are_counted(spark):
+    sites = spark.createDataFrame(
+        [("S1", "48.8", "2.3"), ("S1", "48.9", "2.3"), ("S2", "north", "2,3"), (None, "", None)],
+        "code_site string, latitude string, longitude string").selectExpr("*", "'f' as _file_name", "now() as _loaded_at")
+    roads = spark.createDataFrame(
+        [("r1", "48.8, 2.3"), ("r2", "48.8"), ("r3", "bad, 2.3"), ("r4", " "), ("r5", None)], "iu_ac string, geo_point_2d string"
+    ).selectExpr("*", "'x' as t_1h", "'Dense' as etat_trafic", "'f' as _file_name", "now() as _loaded_at")
+    tables = {"raw_coordonnees": sites, "raw_trafic_routier": roads}
+    found = {(r["table_name"], r["check_name"]): (r["severity"], r["failures"])
+             for r in run_checks(tables, silver_checks(tables)).collect()}
+    assert found["raw_coordonnees", "unique:code_site"] == ("error", 1)
+    assert found["raw_coordonnees", "not_null:code_site"] == ("error", 1)
+    assert found["raw_coordonnees", "readable:latitude"] == ("warn", 1)
+    assert found["raw_coordonnees", "readable:longitude"] == ("warn", 1)
+    assert found["raw_trafic_routier", "readable:geo_point_2d"] == ("warn", 2)
+
+
 def test_declared_checks():
     from citylode.plans.checks import DATED, KEYS, LABELS, REQUIRED
     assert sum(map(len, REQUIRED.values())) >= 60 and len(KEYS) == 7 and len(LABELS) == 4

@@ -5,7 +5,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from citylode.schemas import POLLED_STATION, SITE_COLUMNS
+from citylode.plans import silver
+from citylode.schemas import BIKE_COLUMNS, POLLED_STATION, SITE_COLUMNS
+from citylode.sources.files import read_delimited, split_corrupt, split_documents
 from citylode.sources.topic import decode, read_message_files, read_topic
 from citylode.streaming import ingest
 from citylode.streaming.station_state import StateTable, follow, latest_states, to_messages
@@ -34,6 +36,108 @@ def test_files_are_loaded_once_across_restarts(spark, tmp_path):
     assert rows(spark.read.parquet(work + "/bad").select("_corrupt_record")) == [("broken",)]
 
 
+def test_a_new_checkpoint_loads_nothing_again_and_loses_nothing(spark, tmp_path):
+    landed, work = tmp_path / "landed", str(tmp_path / "work")
+
+    def run(checkpoint):
+        ingest.load_new_files(
+            ingest.stream_delimited(spark, str(landed), SITE_COLUMNS, files_per_batch=1), work + "/raw", work + "/bad",
+            f"{work}/checkpoint-{checkpoint}")
+        return rows(ingest.loaded_batches(spark, work + "/raw").select("code_site", "batch"))
+
+    assert ingest.loaded(spark, work + "/raw") is None
+    put(landed / "2026/06/08/07/00", "a.csv", "h;h;h\na;1;2\nbroken\n", at=1_700_000_000)
+    put(landed / "2026/06/08/08/00", "b.csv", "h;h;h\nb;1;2\n", at=1_700_000_100)
+    assert run(1) == [("a", 1), ("b", 2)]
+    assert run(2) == [("a", 1), ("b", 2)]
+    put(landed / "2026/06/09/07/00", "c.csv", "h;h;h\nc;1;2\n", at=1_703_000_000)
+    assert run(3) == [("a", 1), ("b", 2), ("c", 3)]
+    # A file that is replaced is another file.
+    put(landed / "2026/06/09/07/00", "c.csv", "h;h;h\nc;1;2\nd;1;2\n", at=1_703_000_100)
+    assert run(4) == [("a", 1), ("b", 2), ("c", 3), ("c", 4), ("d", 4)]
+    assert rows(spark.read.parquet(work + "/bad").select("_corrupt_record")) == [("broken",)]
+    entries = ingest.Ledger(spark, work + "/raw").entries.read()
+    assert rows(entries.select("batch", "_file_size")) == [(1, 19), (2, 12), (3, 12), (4, 18)]
+
+
+def test_rows_of_a_batch_that_was_not_published_do_not_count(spark, tmp_path, monkeypatch):
+    landed, work = tmp_path / "landed", str(tmp_path / "work")
+
+    def run(checkpoint):
+        ingest.load_new_files(
+            ingest.stream_delimited(spark, str(landed), SITE_COLUMNS), work + "/raw", work + "/bad", f"{work}/{checkpoint}")
+
+    def codes():
+        found = ingest.loaded(spark, work + "/raw")
+        return found and rows(found.select("code_site"))
+
+    put(landed, "a.csv", "h;h;h\na;1;2\n")
+    add = ingest.Ledger.add
+
+    def killed(*_):
+        raise OSError("killed")
+
+    monkeypatch.setattr(ingest.Ledger, "add", killed)
+    with pytest.raises(Exception, match="killed"):
+        run("one")
+    assert codes() is None
+    monkeypatch.setattr(ingest.Ledger, "add", add)
+    put(landed, "b.csv", "h;h;h\nb;1;2\n")
+    run("one")
+    run("two")
+    assert codes() == [("a",), ("b",)]
+
+
+def test_files_of_a_batch_that_are_partly_known(spark, tmp_path):
+    landed, work = tmp_path / "landed", str(tmp_path / "work")
+    for checkpoint, name in (("one", "a"), ("two", "b")):
+        put(landed, f"{name}.csv", f"h;h;h\n{name};1;2\n")
+        ingest.load_new_files(
+            ingest.stream_delimited(spark, str(landed), SITE_COLUMNS), work + "/raw", work + "/bad", f"{work}/{checkpoint}")
+    assert rows(ingest.loaded(spark, work + "/raw").select("code_site")) == [("a",), ("b",)]
+
+
+def test_json_arrays_and_documents_are_loaded_once_across_checkpoints(spark, tmp_path):
+    landed, work = tmp_path / "landed", str(tmp_path / "work")
+    put(landed / "stations/2026/06/08/07/00", "1.json", json.dumps([
+        {"stationcode": "1", "name": "A", "capacity": 3, "coordonnees_geo": {"lat": 48.5, "lon": 2.5}}, {"stationcode": "2"}]))
+    put(landed / "stations/2026/06/08/07/00", "2.json", "no json")
+    put(landed / "zones/2026/06/08/07/00", "1.json", '{"features": [1]}')
+    put(landed / "zones/2026/06/08/07/00", "2.json", "{broken")
+    put(landed / "zones/2026/06/08/07/00", "3.json", " ")
+
+    def run(checkpoint):
+        ingest.load_new_files(
+            ingest.stream_stations(spark, f"{landed}/stations"), work + "/s", work + "/s-bad", f"{work}/s-{checkpoint}")
+        ingest.load_new_files(
+            ingest.stream_documents(spark, f"{landed}/zones"), work + "/z", work + "/z-bad", f"{work}/z-{checkpoint}",
+            split_documents)
+
+    for checkpoint in (1, 2):
+        run(checkpoint)
+        stations = ingest.loaded(spark, work + "/s")
+        assert rows(stations.select("stationcode", "capacity", "coordonnees_geo_lat")) == [("1", "3", "48.5"), ("2", None, None)]
+        assert {str(r[0]) for r in stations.select("_loaded_at").collect()} == {"2026-06-08 07:00:00"}
+        assert rows(spark.read.parquet(work + "/s-bad").select("_corrupt_record")) == [("no json",)]
+        assert rows(ingest.loaded(spark, work + "/z").selectExpr("to_json(raw_geojson)")) == [('{"features":[1]}',)]
+        bad = spark.read.parquet(work + "/z-bad").select("_corrupt_record", F.substring_index("_file_name", "/", -1))
+        assert rows(bad) == [(" ", "3.json"), ("{broken", "2.json")]
+
+
+def test_streamed_loads_give_the_marts_of_a_batch_scan(spark, tmp_path):
+    """Two files of one run and day: both count, as they do when they are scanned together."""
+    landed, work = tmp_path / "landed", str(tmp_path / "work")
+    line = ";".join(["{}", "C", "s", "n", "5", "2026-06-08T08:00:00", "", "", "0.5, 0.5", *[""] * 7])
+    head = ";".join(BIKE_COLUMNS)
+    put(landed / "2026/06/08/07/00", "a.csv", f"{head}\n{line.format('c1')}\n", at=1_700_000_000)
+    put(landed / "2026/06/08/07/00", "b.csv", f"{head}\n{line.format('c2')}\n", at=1_700_000_900)
+    ingest.load_new_files(
+        ingest.stream_delimited(spark, str(landed), BIKE_COLUMNS, files_per_batch=1), work + "/raw", work + "/bad", work + "/c")
+    streamed = silver.bike_daily(silver.bike_counts(ingest.loaded(spark, work + "/raw")))
+    scanned = silver.bike_daily(silver.bike_counts(split_corrupt(read_delimited(spark, f"{landed}/*/*/*/*/*", BIKE_COLUMNS))[0]))
+    assert rows(streamed) == rows(scanned) and streamed.count() == 2
+
+
 def message(station, at, bikes):
     return json.dumps({"stationId": station, "timestamp": at, "num_bikes_available": bikes, "latitude": 48.5})
 
