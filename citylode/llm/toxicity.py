@@ -21,7 +21,8 @@ from citylode.llm.common import documents, fresh, sampled, stored
 from citylode.llm.sums import PARTS, merged_sums
 
 FIT_ROWS = 60_000
-TERMS = 768  # fewest errors on held-out rows of sf0.1; see the README
+# Terms of the model by toxic texts to learn from: more of them overfit few texts; see the README for errors.
+LEAST_TERMS, MOST_TERMS, TERMS_PER_TEXT = 192, 768, 2.3
 STEMS = (4, 5)
 RIDGE = 0.1
 SWAP_PENALTY = 1.0
@@ -37,7 +38,16 @@ IDENTITY = [
     ("black", "white", "asian", "african", "european", "latino", "arab"),
     ("american", "french", "german", "spanish", "mexican", "chinese", "indian", "russian"),
     ("immigrant", "native", "refugee"), ("immigrants", "natives", "refugees"), ("old", "young"),
-    ("blind", "deaf", "disabled"), ("femmes", "hommes"), ("frauen", "männer"), ("mujeres", "hombres"),
+    ("blind", "deaf", "disabled"),
+    ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"), ("chrétiens", "musulmans", "juifs", "athées"),
+    ("noirs", "blancs", "arabes", "asiatiques"), ("français", "allemand", "espagnol", "italien"),
+    ("immigrés", "réfugiés", "étrangers"), ("vieux", "jeunes"),
+    ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"), ("christen", "muslime", "juden", "atheisten"),
+    ("schwarze", "weiße", "araber", "asiaten"), ("deutsche", "franzosen", "spanier", "italiener"),
+    ("einwanderer", "flüchtlinge", "ausländer"), ("alte", "junge"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("niñas", "niños"), ("cristianos", "musulmanes", "judíos", "ateos"),
+    ("negros", "blancos", "árabes", "asiáticos"), ("españoles", "franceses", "alemanes", "italianos"),
+    ("inmigrantes", "refugiados", "extranjeros"), ("viejos", "jóvenes"),
 ]
 SWAPS = {term: group[(k + 1) % len(group)] for group in IDENTITY for k, term in enumerate(group)}
 WORDS = re.compile(r"[^\W\d_]+").findall
@@ -77,7 +87,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def choose_terms(rows: DataFrame, terms: int) -> list[str]:
+def term_count(toxic: int) -> int:
+    """How many terms so many toxic texts can teach."""
+    return min(MOST_TERMS, max(LEAST_TERMS, round(TERMS_PER_TEXT * toxic)))
+
+
+def choose_terms(rows: DataFrame, terms: int | None = None) -> list[str]:
     """The terms that part toxic from other texts best, by their chi-squared over the labelled rows."""
     def work(batches):
         toxic, other = Counter(), Counter()
@@ -99,6 +114,7 @@ def choose_terms(rows: DataFrame, terms: int) -> list[str]:
     if not total[0] or not total[1]:
         return []
     p, q = float(total[0]), float(total[1])
+    terms = term_count(total[0]) if terms is None else terms
     sums = rows.select("text", "label").mapInArrow(work, "term string, toxic bigint, other bigint").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).filter(F.col("toxic") >= LEAST)
     gap = F.col("toxic") / p - F.col("other") / q
@@ -107,7 +123,7 @@ def choose_terms(rows: DataFrame, terms: int) -> list[str]:
     return [r.term for r in best.collect()]
 
 
-def fit(spark: SparkSession, rows: DataFrame, terms: int = TERMS, penalty: float = SWAP_PENALTY) -> Model:
+def fit(spark: SparkSession, rows: DataFrame, terms: int | None = None, penalty: float = SWAP_PENALTY) -> Model:
     """Fit on stored (text, label), label 0 or 1: Newton's steps, each summed over partitions and
     added up in Spark; the driver holds one matrix of the terms.
 
