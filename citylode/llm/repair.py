@@ -17,14 +17,12 @@ import numpy as np
 
 MAGIC = b"RPR2"
 LEAST = 3  # a rule costs two symbols and a length, and saves a symbol per use: two uses do not pay for it
+FALL = 0.67  # of the limit from one round to the next
 SLOTS = 18  # binary logarithm of the counters that rule out rare pairs
 
 
-def pairs_of(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every pair of neighbours as left << 32 | right, and its counter."""
-    left, right = symbols[:-1], symbols[1:]
-    slot = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - SLOTS)
-    return left.astype(np.uint64) << np.uint64(32) | right, slot
+def slots_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - SLOTS)
 
 
 def chosen_pairs(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -52,48 +50,62 @@ def chosen_pairs(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.sort(found[order[taken]])
 
 
-def replaced(symbols: np.ndarray, where: np.ndarray, which: np.ndarray, first: int) -> np.ndarray:
-    """The symbols with the pairs at ``where`` replaced, from left to right, by ``first`` plus their numbers."""
-    # Only pairs of two equal symbols overlap: of a run of them the first, third and so on are taken.
+def taken_places(where: np.ndarray) -> np.ndarray:
+    """Which of some places, sorted, are replaced: only pairs of two equal symbols overlap, and of a run of them
+    the first, third and so on are."""
     begins = np.concatenate([[True], np.diff(where) > 1])
     run_start = np.maximum.accumulate(np.where(begins, np.arange(len(where)), 0))
-    take = (np.arange(len(where)) - run_start) % 2 == 0
-    out = symbols.copy()
-    out[where[take]] = first + which[take]
-    keep = np.ones(len(symbols), bool)
-    keep[where[take] + 1] = False
-    return out[keep]
+    return (np.arange(len(where)) - run_start) % 2 == 0
 
 
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (a pair of symbols each) of a sequence of ids below ``base``.
 
     Goes on until no pair occurs ``least`` times. Each round takes the pairs above a falling limit, the most
-    frequent ones first, and replaces all those together that do not overlap.
+    frequent ones first, and replaces all those together that do not overlap. A pair that is rare stays rare, as
+    new pairs hold new symbols, so only places that may begin a frequent pair are looked at again.
     """
     symbols, rules, made, limit = ids.astype(np.uint32), [], 0, None
-    while len(symbols) > 1:
-        pairs, slot = pairs_of(symbols)
+    live = np.arange(len(symbols) - 1)
+    while len(live):
+        left, right = symbols[live], symbols[live + 1]
+        slot = slots_of(left, right)
         counters = np.bincount(slot, minlength=1 << SLOTS)
-        most = int(counters.max())
-        limit = max(least, min(most, most if limit is None else limit * 2 // 3))
-        found = np.zeros(0, np.uint64)
-        while not len(found):
-            maybe = np.flatnonzero(counters[slot] >= limit)
-            found, counts = np.unique(pairs[maybe], return_counts=True)
+        seen = counters[slot]
+        most = int(seen.max())
+        limit = max(least, min(most, most if limit is None else int(limit * FALL)))
+        while True:
+            maybe = np.flatnonzero(seen >= limit)
+            pairs = left[maybe].astype(np.uint64) << np.uint64(32) | right[maybe]
+            found, counts = np.unique(pairs, return_counts=True)
             same = found >> np.uint64(32) == found & np.uint64(0xFFFFFFFF)
             counts[same] = (counts[same] + 1) // 2  # at least so many of them do not overlap
             often = counts >= limit
             found, counts = found[often], counts[often]
             if len(found) or limit == least:
                 break
-            limit = max(least, limit * 2 // 3)
+            limit = max(least, int(limit * FALL))
         if not len(found):
             break
         chosen = chosen_pairs(found, counts)
-        at = np.minimum(np.searchsorted(chosen, pairs[maybe]), len(chosen) - 1)
-        hit = chosen[at] == pairs[maybe]
-        symbols = replaced(symbols, maybe[hit], at[hit].astype(np.uint32), base + made)
+        taken = np.zeros(1 << SLOTS, bool)  # the counters of the chosen pairs rule most other places out
+        taken[slots_of((chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32))] = True
+        near = np.flatnonzero(taken[slot[maybe]])
+        pairs, maybe = pairs[near], maybe[near]
+        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
+        hit = np.flatnonzero(chosen[at] == pairs)
+        where, which = live[maybe[hit]], at[hit]
+        places = taken_places(where)
+        where, which = where[places], which[places]
+        symbols[where] = base + made + which
+        keep = np.ones(len(symbols), bool)
+        keep[where + 1] = False
+        again = np.zeros(len(symbols), bool)
+        again[live] = seen >= least
+        again[where] = again[np.maximum(where - 1, 0)] = True
+        kept = np.flatnonzero(keep)
+        symbols = symbols[kept]
+        live = np.flatnonzero(again[kept][:-1])
         rules.append(np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(chosen)
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
@@ -117,14 +129,33 @@ def unpack_symbols(data: bytes, n: int, bits: int) -> np.ndarray:
     return out
 
 
+def by_depth(rules: np.ndarray, base: int) -> list[np.ndarray]:
+    """Numbers of rules, those first that only use ids, then those that use such rules, and so on."""
+    depth = np.zeros(base + len(rules), np.int32)
+    while len(rules):
+        deeper = depth[rules].max(axis=1) + 1
+        if (deeper == depth[base:]).all():
+            break
+        depth[base:] = deeper
+    order = np.argsort(depth[base:], kind="stable")
+    return np.split(order, np.searchsorted(depth[base:][order], np.arange(2, depth.max() + 1))) if len(rules) else []
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
-    """Ids that each rule stands for. Rules only use symbols of earlier rules."""
+    """Ids that each rule stands for."""
     lengths = np.ones(base + len(rules), np.int64)
-    for k, (a, b) in enumerate(rules.tolist()):
-        lengths[base + k] = lengths[a] + lengths[b]
+    for some in by_depth(rules, base):
+        lengths[base + some] = lengths[rules[some]].sum(axis=1)
     return lengths[base:]
 
 
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of several stretches, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - ends + sizes, sizes)
+
+
 def pack_shard(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray, base: int, nameless: int = 0) -> bytes:
     """A shard of whole documents as bytes; the first ``nameless`` ones have no id."""
     symbols, rules = compress(ids, base)
@@ -151,13 +182,14 @@ class Shard:
     @cached_property
     def expansion(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Length and start of every symbol's ids in a flat table of them, and that table."""
-        texts: list[bytes] = []
-        for a, b in self.rules.tolist():
-            texts.append(b"".join(
-                np.uint16(s).tobytes() if s < self.base else texts[s - self.base] for s in (a, b)))
         lengths = np.concatenate([np.ones(self.base, np.int64), self.rule_lengths.astype(np.int64)])
-        flat = np.concatenate([np.arange(self.base, dtype=np.uint16), np.frombuffer(b"".join(texts), "<u2")])
-        return lengths, np.cumsum(lengths) - lengths, flat
+        starts = np.cumsum(lengths) - lengths
+        flat = np.zeros(int(lengths.sum()), np.uint16)
+        flat[:self.base] = np.arange(self.base)
+        for some in by_depth(self.rules, self.base):
+            parts, whole = self.rules[some].reshape(-1), self.base + some
+            flat[spans(starts[whole], lengths[whole])] = flat[spans(starts[parts], lengths[parts])]
+        return lengths, starts, flat
 
     @cached_property
     def ends(self) -> np.ndarray:
@@ -166,10 +198,7 @@ class Shard:
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         lengths, starts, flat = self.expansion
-        sizes = lengths[symbols]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        return flat[np.arange(total) + np.repeat(starts[symbols] - ends + sizes, sizes)]
+        return flat[spans(starts[symbols], lengths[symbols])]
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """The ids from start to stop; only the symbols that cover them are expanded."""

@@ -16,7 +16,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citylode.llm.blocks import finite, matrix, numbered, numbers, vector_column
+from citylode.llm.blocks import finite, matrix, numbered, vector_column
 from citylode.llm.common import small, stored
 
 BLOCK = 1024  # rows and columns of a block: at most 8 MB

@@ -54,7 +54,10 @@ def plain_repair(ids, base, least):
         if counts.max() < least:
             break
         where = np.flatnonzero(pairs == found[counts.argmax()])
-        used = repair.replaced(symbols, where, np.zeros(len(where), np.uint32), base + rules)
+        where = where[repair.taken_places(where)]
+        used = symbols.copy()
+        used[where] = base + rules
+        used = np.delete(used, where + 1)
         if len(symbols) - len(used) < least:
             break
         symbols, rules = used, rules + 1
