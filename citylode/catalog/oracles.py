@@ -11,7 +11,7 @@ import re
 
 from citylode.catalog.analogs import ANALOGS, duck_cte
 from citylode.reference_values import (
-    ALERT_THRESHOLDS, CLASSIFIED_HOURS, MERGE_KEYS, QUALITY_CODES, SITE_SETTINGS, TRAFFIC_STATES,
+    ALERT_THRESHOLDS, CLASSIFIED_HOURS, QUALITY_CODES, SITE_SETTINGS, TRAFFIC_STATES,
 )
 
 
@@ -372,8 +372,10 @@ STATEMENTS: dict[str, str] = {
     "upsert_partitions": """select compteur_id, date_jour, total_passages_jour + case when date_jour > date '1998-01-01'
         then 1000 else 0 end as total_passages_jour, pic_horaire from m_bike""",
     "gold_roundtrip": f"select {AIR} from m_air",
-    "route_by_path": f"""select o_orderkey, dataset from orders join (values {', '.join(
-        f"({i}, '{n}')" for i, n in enumerate(MERGE_KEYS))}) d(i, dataset) on o_orderkey % 9 = i""",
+    "route_by_path": """select 'dm_velo_daily' as dataset, compteur_id as item, date_jour,
+            case when date_jour > date '1998-01-01' then total_passages_jour else total_passages_jour + 1000 end as metric
+        from m_bike union all
+        select 'dm_zone_kpi_daily', cast(arrondissement_code as varchar), date_jour, total_velos from m_zone""",
     "run_report": " union all ".join([
         *[f"select '{d}' as dataset, count(*) as n, 0 as run_no from {c}" for d, c in COUNTS.items()],
         *[f"select '{d}', 0, 1" for d in COUNTS],
@@ -449,6 +451,8 @@ STATEMENTS: dict[str, str] = {
                  "1998-01-25 07:30:00"),
         reloaded(["int_trafic_daily"], "raw_trafic_routier", "cast(substr(t_1h, 1, 10) as date)", "1998-01-25 07:30:00")]),
 }
+STATEMENTS["latest_state_store"] = STATEMENTS["latest_state_stream"]
+STATEMENTS["serve_alert_pages"] = STATEMENTS["serve_all_alerts"]
 STATEMENTS["incremental_silver"] = STATEMENTS["zone_kpi_daily"]
 STATEMENTS["spatial_join_shuffled"] = STATEMENTS["spatial_join"]
 

@@ -20,7 +20,7 @@ from citylode.functions.numeric import steady
 from citylode.operators import quality
 from citylode.operators.dedup import keep_latest_row, newest_first, newest_load_per_day
 from citylode.operators.merge import merge_rows, upsert_table
-from citylode.operators.predicates import after, day_slice, latest_available_day
+from citylode.operators.predicates import MONTH, after, day_slice, latest_available_day
 from citylode.operators.spatial import ZoneIndex, index_zones, spatial_join
 from citylode.operators.versions import read_table
 from citylode.operators.watermark import Watermarks, delta_start, marks_from, merge_marks
@@ -28,7 +28,7 @@ from citylode.plans import checks, dashboard, gold, increments, nightly, serving
 from citylode.reference_values import CLASSIFIED_HOURS, DATE_COLUMNS, MERGE_KEYS, SITE_SETTINGS
 from citylode.schemas import AIR_COLUMNS, BIKE_COLUMNS, STATION_STATE
 from citylode.session import scratch_path
-from citylode.sinks.export import export_snapshot
+from citylode.sinks.export import export_counted, export_snapshot, snapshot_path
 from citylode.sources import files, landing
 from citylode.sources.topic import decode, read_message_files
 from citylode.streaming import ingest, station_state
@@ -573,14 +573,29 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def route_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as an exported file's path, routed to its dataset; unmapped ones are ignored."""
-    names = F.array(*[F.lit(n) for n in [*MERGE_KEYS, "scratch", "dm_unknown"]])
-    key = F.col("o_orderkey")
-    paths = table(spark, sf_dir, "orders").select(
-        key, F.concat(
-            F.lit("gold_export/"), F.get(names, (key % 9).cast("int")), F.lit("/20260608/part-"),
-            key.cast("string"), F.lit(".parquet")).alias("path"))
-    return landing.route(paths).select("o_orderkey", "dataset")
+    """Marts exported by two runs, then served from the files that are found, routed by their paths.
+
+    The first run's bicycle days are too high by 1000, the second corrects those after a mark. A dataset that
+    is not served lies there as well.
+    """
+    city, root = City(spark, sf_dir), scratch_path(spark, "exports")
+    bikes, zones = city.served("dm_velo_daily"), city.served("dm_zone_kpi_daily")
+    raised = bikes.withColumn("total_passages_jour", F.col("total_passages_jour") + 1000)
+    for hour, dataset, df in (
+            (6, "dm_velo_daily", raised), (6, "dm_zone_kpi_daily", zones), (6, "dm_unknown", zones),
+            (7, "dm_velo_daily", after(bikes, "date_jour", MARK))):
+        export_counted(df.drop(MONTH), f"{snapshot_path(root, dataset, AS_OF)}/run={hour:02d}", None)
+    for _ in range(2):  # the second time there is nothing left to serve
+        nightly.load_serving(spark, {}, root)
+    parts = [
+        read_table(spark, f"{root}/serving/{dataset}").select(
+            F.lit(dataset).alias("dataset"), F.col(key).cast("string").alias("item"), "date_jour",
+            F.col(value).cast("long").alias("metric"))
+        for dataset, key, value in (
+            ("dm_velo_daily", "compteur_id", "total_passages_jour"), ("dm_zone_kpi_daily", "arrondissement_code", "total_velos"))]
+    left = nightly.unserved(spark, root).select(
+        "dataset", F.lit("unserved").alias("item"), F.lit(None).cast("date").alias("date_jour"), F.lit(0).cast("long").alias("metric"))
+    return parts[0].unionByName(parts[1]).unionByName(left)
 
 
 @query
@@ -599,13 +614,17 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs[0].unionByName(runs[1])
 
 
+def first_batch(raw: nightly.Raw) -> nightly.Raw:
+    """Raw tables as a first run finds them."""
+    return nightly.Raw(
+        *[df.filter(F.col(increments.BATCH) == 1) if increments.BATCH in df.columns else df
+          for df in (raw.air, raw.sites, raw.bikes, raw.roads)], raw.zone_documents)
+
+
 def two_increments(city: City) -> tuple[dict[str, DataFrame], str]:
     """Silver tables after a run that finds the first batch and one that finds the second, and where they are."""
     work, raw = scratch_path(city.spark, "increments"), city.batched()
-    first = nightly.Raw(
-        *[df.filter(F.col(increments.BATCH) == 1) if increments.BATCH in df.columns else df
-          for df in (raw.air, raw.sites, raw.bikes, raw.roads)], raw.zone_documents)
-    increments.refresh_silver(city.spark, first, work, SITES)
+    increments.refresh_silver(city.spark, first_batch(raw), work, SITES)
     return increments.refresh_silver(city.spark, raw, work, SITES), work
 
 
@@ -656,6 +675,20 @@ def serve_all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.all_alerts(mart, pollutant="NO2")
 
 
+@query
+def serve_alert_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All alerts of a pollutant, page after page to the end; each page is found from the last row before it."""
+    mart = rounded(City(spark, sf_dir).served("dm_alertes_pollution"), "valeur_moyenne")
+    path, last, number = scratch_path(spark, "pages"), None, 0
+    while True:
+        serving.alerts_after(mart, last, pollutant="NO2", limit=1000).write.parquet(f"{path}/page={number}")
+        page = spark.read.schema(mart.drop(MONTH).schema).parquet(f"{path}/page={number}")
+        if page.count() < 1000:
+            return spark.read.schema(mart.drop(MONTH).schema).parquet(f"{path}/*")
+        last = page.orderBy(*[by.backward() for by in serving.ALERT_ORDER]).first().asDict()
+        number += 1
+
+
 @query
 def serve_bike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.bike_days(
@@ -796,6 +829,23 @@ def latest_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.read().select("stationId", "timestamp", "num_docks_available", "nom_arrondissement_communes")
 
 
+@query
+def latest_state_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same states by an aggregate in the state store: each batch writes the stations it changed.
+
+    Two streams share the messages' folder one after the other; the second knows nothing of the first.
+    """
+    states = City(spark, sf_dir).raw("station_states")
+    work = scratch_path(spark, "live")
+    text = F.when(F.col("position") % 53 == 0, F.lit("not json")).otherwise(F.to_json(F.struct(*STATION_STATE.fieldNames())))
+    states.select(text.alias("value")).write.text(f"{work}/topic")
+    live = station_state.ChangeTable(spark, f"{work}/state", merge_after=3)
+    for checkpoint in ("first", "second"):
+        station_state.follow_changes(
+            decode(read_message_files(spark, f"{work}/topic", files_per_batch=4)), live, f"{work}/{checkpoint}")
+    return live.read().select("stationId", "timestamp", "num_docks_available", "nom_arrondissement_communes")
+
+
 @query
 def serve_velib(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.stations(City(spark, sf_dir).states(), area="zone 7", limit=1500)

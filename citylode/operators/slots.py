@@ -6,13 +6,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citylode.operators.storage import exists
+
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at a path, or None when nothing has been written there yet."""
+    if not exists(spark, path):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
             return None
         raise
 

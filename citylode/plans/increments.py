@@ -74,10 +74,14 @@ class Update:
 
 
 class Staging:
-    """Rows that are checked before they are published, in scratch folders that go with the run."""
+    """Tables in scratch folders that go with the run: changed days, and rows that are checked before they are
+    published. Rows that nothing checks are not written twice."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
+    def __init__(self, spark: SparkSession, checked: bool):
+        self.spark, self.checked, self.paths = spark, checked, []
+
+    def rows(self, df: DataFrame, name: str) -> DataFrame:
+        return self.put(df, name) if self.checked else df
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, f"increment-{name}")
@@ -139,7 +143,7 @@ def stage_measured(spark: SparkSession, staging: Staging, source: Measured, raw:
     changed = staging.put(loads.filter(~usual | before.isNull() | (F.col("newest_load") >= before)).select(
         "day", "newest_load", (usual & (before.isNull() | (F.col("newest_load") > before))).alias("replaces")), source.staged)
     newest = changed.filter(in_calendar(F.col("day"))).select(F.col("day").alias("load_day"), "newest_load")
-    rows = staging.put(source.typed(new, newest=newest), source.staged)
+    rows = staging.rows(source.typed(new, newest=newest), source.staged)
     return Update(table, rows, changed.filter("replaces").select("day"), changed.select("day", "newest_load"),
                   source.day, {BATCH: last})
 
@@ -157,7 +161,7 @@ def stage_derived(
     changed = staging.put(source.side(DAYS).filter(F.col("changed_in") > since).select("day"), "changed")
     months = [r[0] for r in changed.select(month_of(F.col("day"))).distinct().collect()]
     rows = source.read() if everything else on_days(source.read(months), changed, F.col(source_day).cast("date"))
-    return Update(table, staging.put(build(rows), "rows"), None if everything else changed, changed, day,
+    return Update(table, staging.rows(build(rows), "rows"), None if everything else changed, changed, day,
                   {"source": of.version, "depends_on": depends_on})
 
 
@@ -171,7 +175,7 @@ def refresh_silver(
     depend on them are made anew. New rows are checked before they are published, and derived ones too: a
     failed check leaves the tables as they were, and the next run finds the same changes again.
     """
-    staging = Staging(spark)
+    staging = Staging(spark, check is not None)
     try:
         return refreshed(spark, staging, raw, root, sites, check)
     finally:

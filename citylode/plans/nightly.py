@@ -8,18 +8,23 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from citylode.operators.ledger import ENTRY, Ledger
 from citylode.operators.merge import upsert_table
 from citylode.operators.quality import gate, run_checks
 from citylode.operators.spatial import index_zones
+from citylode.operators.storage import children, remove
 from citylode.operators.versions import VersionedTable
 from citylode.operators.watermark import Watermarks, delta_start
 from citylode.plans import gold, silver
 from citylode.plans.checks import silver_checks
 from citylode.reference_values import DATE_COLUMNS, MERGE_KEYS, REGION_SITES
 from citylode.schemas import as_served
+from citylode.session import scratch_path
 from citylode.sinks.export import export_counted, snapshot_path
 from citylode.sources.files import read_lowered
+from citylode.sources.landing import exported_files
 
 
 @dataclass(frozen=True)
@@ -172,33 +177,48 @@ def advance_marks(marks: Watermarks, done: dict[str, Exported]) -> None:
     marks.advance({d: e.last_date for d, e in done.items() if e.rows and d in DATE_COLUMNS})
 
 
-def load_serving(
-    spark: SparkSession, exported: dict[str, Exported], root: str, marks: Watermarks | None = None,
-) -> None:
-    """Upsert the exported rows into the served tables; nothing exported, nothing done.
+def unserved(spark: SparkSession, root: str) -> DataFrame:
+    """Exported files that have not been served yet, whichever run exported them."""
+    return Ledger(spark, f"{root}/serving/exports").unknown(exported_files(spark, root))
 
-    The mark of a dataset moves once its rows are served. After a failed upsert the next run exports the
-    same rows again, and they replace each other by key.
-    """
-    served: dict[str, Exported] = {}
 
-    def load(dataset: str, path: str) -> None:
-        rows = as_served(read_lowered(spark, path), dataset)
-        upsert_table(
-            spark, f"{root}/serving/{dataset}", rows, MERGE_KEYS[dataset], DATE_COLUMNS.get(dataset))
-        served[dataset] = exported[dataset]
+def load_serving(spark: SparkSession, exported: dict[str, Exported], root: str, marks: Watermarks | None = None) -> None:
+    """Serve what lies exported: files are found and routed by their paths, those of earlier runs first.
+
+    Of each dataset, the runs with files that have not been served are upserted one after the other, oldest
+    first, so the last export of a row wins whatever was lost before. Files are noted as served after their
+    rows are; a run that is lost in between serves them again, which changes nothing. The mark of a dataset
+    moves once its rows are served; after a failed upsert the next run finds the same files, and exports the
+    same rows again.
+    """
+    if not children(spark, f"{root}/gold_export"):
+        return
+    staged = scratch_path(spark, "exports")
+    unserved(spark, root).coalesce(1).write.parquet(staged)
+    queue = spark.read.parquet(staged)
+    runs: dict[str, list[str]] = {}  # a run has one folder a dataset
+    for row in queue.select("dataset", "run").distinct().orderBy("dataset", "run").collect():
+        runs.setdefault(row["dataset"], []).append(row["run"])
+    served: dict[str, list[str]] = {}
+
+    def load(dataset: str) -> None:
+        for folder in runs[dataset]:
+            rows = as_served(read_lowered(spark, folder), dataset)
+            upsert_table(
+                spark, f"{root}/serving/{dataset}", rows, MERGE_KEYS[dataset], DATE_COLUMNS.get(dataset))
+            served.setdefault(dataset, []).append(folder)
 
     try:
-        serve_all(exported, load)
+        side_by_side({dataset: lambda dataset=dataset: load(dataset) for dataset in runs})
     finally:
+        done = [folder for folders in served.values() for folder in folders]
+        if done:
+            ledger = Ledger(spark, f"{root}/serving/exports")
+            ledger.add(queue.filter(F.col("run").isin(done)).select(*ENTRY), ledger.last() + 1)
+        remove(spark, staged)
         if marks is not None:
-            advance_marks(marks, served)
-
-
-def serve_all(exported: dict[str, Exported], load: Callable[[str, str], None]) -> None:
-    side_by_side({
-        dataset: lambda dataset=dataset, path=export.path: load(dataset, path)
-        for dataset, export in exported.items() if export.rows and dataset in MERGE_KEYS})
+            # An empty export of a dataset has nothing to serve and moves no mark.
+            advance_marks(marks, {d: e for d, e in exported.items() if served.get(d) == runs.get(d, [])})
 
 
 def report(spark: SparkSession, exported: dict[str, Exported]) -> DataFrame:

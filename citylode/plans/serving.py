@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citylode.operators.keyset import By, page
 from citylode.operators.predicates import MONTH, all_of, equals, in_days
 
 MAX_LIMIT = 1000
@@ -64,10 +65,30 @@ def alerts(
     return limited(ranked_alerts(chosen).offset(offset), limit)
 
 
+ALERT_ORDER = [
+    By("date_mesure", descending=True), By("ratio_depassement", descending=True), By("code_site"), By("polluant"),
+    By("type_seuil"), By("unite_mesure"), By("nom_site"), By("latitude"), By("longitude")]
+
+
 def ranked_alerts(table: DataFrame) -> DataFrame:
-    return table.orderBy(
-        F.col("date_mesure").desc(), F.col("ratio_depassement").desc_nulls_first(),
-        "code_site", "polluant", "type_seuil", "unite_mesure")
+    return table.orderBy(*[by.ordering() for by in ALERT_ORDER])
+
+
+def alerts_after(
+    table: DataFrame, last: dict | None = None, start: Day = None, end: Day = None, pollutant: str | None = None,
+    limit: int = MAX_LIMIT,
+) -> DataFrame:
+    """The page of alerts that follows a row, the last one of the page before; the first page without one.
+
+    Unlike an offset it costs the same on every page, months that lie wholly before the row are not read, and
+    rows added meanwhile neither repeat nor hide any.
+    """
+    if not 1 <= limit <= MAX_LIMIT:
+        raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
+    if last is not None and last["date_mesure"] is not None:
+        end = last["date_mesure"] if end is None else min(end, last["date_mesure"])
+    chosen = in_days(table, "date_mesure", start, end).filter(all_of(equals("polluant", pollutant))).drop(MONTH)
+    return page(chosen, ALERT_ORDER, limit, last)
 
 
 def all_alerts(table: DataFrame, start: Day = None, end: Day = None, pollutant: str | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylode.reference_values import MERGE_KEYS
@@ -36,6 +36,23 @@ def dataset_of(path: Column) -> Column:
     return F.regexp_extract(path, r"(?:^|/)gold_export/([^/]+)/", 1)
 
 
+def run_of(path: Column) -> Column:
+    """Folder of the run that exported a file."""
+    return F.regexp_extract(path, r"^(.*/gold_export/[^/]+/.*)/[^/]+$", 1)
+
+
+def exported_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files of all exports below a folder that belong to a served dataset, with dataset and run folder.
+
+    Only names, sizes and times are listed; no content is read.
+    """
+    found = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(
+        f"{root.rstrip('/')}/gold_export").select(
+        F.col("_metadata.file_path").alias("_file_name"), F.col("_metadata.file_size").alias("_file_size"),
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("_file_modified"))
+    return route(found, "_file_name").withColumn("run", run_of(F.col("_file_name")))
+
+
 def route(files: DataFrame, path: str = "path") -> DataFrame:
     """Files with the dataset they belong to; files of unmapped datasets are left out."""
     return files.withColumn("dataset", dataset_of(F.col(path))).filter(

@@ -6,16 +6,14 @@ not depend on the stream's checkpoint, so a new checkpoint neither loads a file
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from citylode.operators.predicates import MONTH, month_of
+from citylode.operators.ledger import BATCH, ENTRY, Ledger
 from citylode.operators.storage import remove
-from citylode.operators.versions import VersionedTable, months_in
 from citylode.session import scratch_path
 from citylode.sources.files import (
     FILE_COLUMNS, corruptible, delimited_options, document_columns, split_corrupt, station_columns, station_record,
@@ -23,8 +21,6 @@ from citylode.sources.files import (
 )
 
 FILES_PER_BATCH = 1_000
-BATCH = "batch"
-ENTRY = ["_file_name", *FILE_COLUMNS]
 Split = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
 
 
@@ -66,41 +62,6 @@ def stream_documents(
     return scan.select(*document_columns(), "_file_name", "_loaded_at", *FILE_COLUMNS)
 
 
-class Ledger:
-    """The files that have been loaded into a table, in months of their modification.
-
-    A batch's entries are published together with its number, in one step, after its rows have been written:
-    rows of a batch that was never published do not count, and the next batch takes its number.
-    """
-
-    def __init__(self, spark: SparkSession, table: str):
-        self.entries = VersionedTable(spark, f"{table.rstrip('/')}__ledger", "_file_modified")
-
-    def last(self) -> int:
-        return int(self.entries.manifest().notes.get(BATCH, 0))
-
-    def schema(self) -> StructType | None:
-        """The columns of the loaded rows."""
-        found = self.entries.manifest().notes.get("schema")
-        return found and StructType.fromJson(json.loads(found))
-
-    def unknown(self, files: DataFrame) -> DataFrame:
-        """Those of some files, few as they are a batch, that have not been loaded. Only their months are read."""
-        known = self.entries.read(months_in(files.withColumn(MONTH, month_of(F.col("_file_modified")))))
-        if known is None:
-            return files
-        loaded = known.join(F.broadcast(files), ENTRY, "left_semi").select(*ENTRY)
-        return files.join(F.broadcast(loaded), ENTRY, "left_anti")
-
-    def add(self, files: DataFrame, number: int, schema: StructType) -> None:
-        files = files.withColumn(BATCH, F.lit(number))
-        months = months_in(files.withColumn(MONTH, month_of(F.col("_file_modified"))))
-        known = self.entries.read(months)
-        self.entries.commit(
-            files if known is None else known.drop(MONTH).unionByName(files), months,
-            {BATCH: number, "schema": json.dumps(schema.jsonValue())})
-
-
 def load_batch(batch: DataFrame, table: str, quarantine: str, split: Split = split_corrupt) -> int:
     """Append the rows of those files of a batch that the table has not got yet; gives their number.
 

@@ -30,9 +30,10 @@ def test_every_query_has_sql():
     assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-def test_without_the_optional_subpackage():
+@pytest.mark.parametrize("missing", [("citylode.llm", "corpus_pipeline"), ("public_tokenizers",), ("tokenizers",)])
+def test_without_the_optional_subpackage(missing):
     code = (
-        "import sys; sys.modules['citylode.llm'] = sys.modules['corpus_pipeline'] = None\n"
+        f"import sys; sys.modules.update(dict.fromkeys({missing!r}))\n"
         "import __spark_entry__ as e; print(len(e.queries()) == len(e.oracle_sql()) == len(e.REGISTRY))")
     root = Path(__file__).resolve().parent.parent
     said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)

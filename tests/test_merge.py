@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

@@ -3,7 +3,9 @@ import json
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from citylode.operators import keyset
 from citylode.plans import dashboard, serving
 
 D = [dt.date(2026, 6, d) for d in range(1, 6)]
@@ -45,6 +47,39 @@ def test_pages_are_disjoint_and_cover(alert_table):
         serving.alerts(alert_table, offset=-1)
 
 
+def test_pages_after_a_row_cover_all_without_offsets(spark, alert_table):
+    """Missing values and ties in the order, and every page size, also one that ends with the table."""
+    odd = alert_table.limit(3).selectExpr(*[
+        f"cast(null as {t}) as {c}" if c in ("ratio_depassement", "code_site", "unite_mesure", "latitude") else c
+        for c, t in alert_table.dtypes]).withColumn("nom_site", F.concat(F.lit("n"), F.monotonically_increasing_id()))
+    table = alert_table.unionByName(odd)
+    whole = [tuple(r) for r in serving.all_alerts(table).collect()]
+    for size in (7, 21, 100):
+        got = list(keyset.pages(table, serving.ALERT_ORDER, size))
+        assert [tuple(r) for page in got for r in page] == whole and len(whole) == 63
+        assert all(len(page) == size for page in got[:-1]) and 0 < len(got[-1]) <= size
+    pages, last = [], None
+    while rows_ := serving.alerts_after(alert_table, last, pollutant="NO2", limit=4).collect():
+        pages += rows_
+        last = rows_[-1].asDict()
+    assert pages == serving.all_alerts(alert_table, pollutant="NO2").collect()
+    with pytest.raises(ValueError):
+        serving.alerts_after(alert_table, limit=0)
+
+
+def test_pages_after_a_row_prune_months(spark, tmp_path):
+    from citylode.operators.versions import VersionedTable
+    days = [dt.date(2026, m, 5) for m in (1, 2, 3)]
+    table = VersionedTable(spark, str(tmp_path), "date_mesure").commit(spark.createDataFrame(
+        [(d, 1.0, "s", "NO2", "a", "u", "n", 1.0, 2.0) for d in days], "date_mesure date, ratio_depassement double, code_site string, "
+        "polluant string, type_seuil string, unite_mesure string, nom_site string, latitude double, longitude double"))
+    first = serving.alerts_after(table, limit=1).first()
+    page = serving.alerts_after(table, first.asDict(), limit=5)
+    assert [r["date_mesure"] for r in page.collect()] == [days[1], days[0]]
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "PartitionFilters: [isnotnull(month" in plan
+
+
 def test_ordered_limits_are_top_k(alert_table):
     plan = serving.alerts(alert_table, pollutant="NO2", limit=100)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

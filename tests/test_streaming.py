@@ -10,7 +10,9 @@ from citylode.schemas import BIKE_COLUMNS, POLLED_STATION, SITE_COLUMNS
 from citylode.sources.files import read_delimited, split_corrupt, split_documents
 from citylode.sources.topic import decode, read_message_files, read_topic
 from citylode.streaming import ingest
-from citylode.streaming.station_state import StateTable, follow, latest_states, to_messages
+from citylode.streaming.station_state import (
+    ChangeTable, StateTable, follow, follow_changes, latest_states, newest_by_station, to_messages,
+)
 
 
 def put(folder, name, text, at=None):
@@ -159,6 +161,39 @@ def test_an_older_state_never_replaces_a_newer_one(spark, tmp_path):
     assert rows(spark.read.option("recursiveFileLookup", True).parquet(work + "/bad")) == [("not json",)]
 
 
+def test_changed_stations_are_written_and_no_others(spark, tmp_path):
+    topic, work = tmp_path / "topic", str(tmp_path / "work")
+    table = ChangeTable(spark, work + "/state", merge_after=4)
+    columns = ["stationId", "timestamp", "num_bikes_available"]
+
+    def run(checkpoint):
+        follow_changes(decode(read_message_files(spark, str(topic))), table, f"{work}/{checkpoint}")
+        return rows(table.read().select(*columns))
+
+    assert table.read() is None
+    put(topic, "1.txt", "\n".join([message("s", "T2", 5), message("t", "T1", 1), message("", "T9", 9), "not json"]), at=1_700_000_000)
+    assert run("one") == [("s", "T2", 5), ("t", "T1", 1)]
+    put(topic, "2.txt", "\n".join([message("s", "T1", 9), message("t", "T3", 3), message("u", "T1", 0)]), at=1_700_000_100)
+    assert run("one") == [("s", "T2", 5), ("t", "T3", 3), ("u", "T1", 0)]
+    put(topic, "3.txt", message("u", "T4", 8), at=1_700_000_200)
+    assert run("one") == [("s", "T2", 5), ("t", "T3", 3), ("u", "T4", 8)]
+    sizes = [spark.read.parquet(folder).count() for folder in table.changes()]
+    assert sizes == [2, 3, 1]  # the second batch has met s again, the third only u
+    # A new checkpoint starts over; the changes are merged, and nothing goes back in time.
+    assert run("two") == [("s", "T2", 5), ("t", "T3", 3), ("u", "T4", 8)]
+    assert table.base.version() == 1 and table.changes() == []
+    put(topic, "4.txt", message("s", "T0", 7), at=1_700_000_300)
+    assert run("three") == [("s", "T2", 5), ("t", "T3", 3), ("u", "T4", 8)]
+
+
+def test_the_aggregate_settles_ties_as_the_window_does(spark):
+    data = [("s", t, b, d, p) for t in ("T1", "T2", None) for b in (1, 2, None) for d in (3, None) for p in (1.0, 2.0)]
+    states = spark.createDataFrame(data, "stationId string, timestamp string, num_bikes_available bigint, "
+                                   "num_docks_available bigint, position double")
+    for part in (states, states.filter("timestamp is null"), states.filter("timestamp = 'T1' and position = 1")):
+        assert rows(newest_by_station(part).select(part.columns)) == rows(latest_states(part).select(part.columns))
+
+
 def test_equal_times_are_settled_by_position(spark, tmp_path):
     topic, work = tmp_path / "topic", str(tmp_path / "work")
     put(topic, "1.txt", message("s", "T1", 1), at=1_700_000_000)
