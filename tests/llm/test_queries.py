@@ -41,16 +41,19 @@ def test_matches_sql(spark, duck, name):
     assert got_columns == want_columns and Counter(got) == Counter(want) and got
 
 
-@pytest.mark.parametrize(("name", "threshold", "parts", "held", "label"), [
-    ("op1_quality", 0.5, 3, 1, "quality"), ("op7_toxicity", 0.3, 4, 2, "toxic")])
-def test_scores(spark, texts, name, threshold, parts, held, label):
-    got = QUERIES[name](spark, SF).collect()
-    assert Counter(r.doc_id for r in got) == Counter(texts)
+@pytest.mark.parametrize(("name", "threshold", "parts", "held", "label", "least"), [
+    ("op1_quality", 0.5, 3, 1, "quality", 0.95), ("op7_toxicity", 0.3, 4, 2, "toxic", 0.85)])
+def test_scores(spark, name, threshold, parts, held, label, least):
+    """On a table with labels enough to learn from; accuracy on held-out rows."""
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = QUERIES[name](spark, folder).collect()
+    assert Counter(r.doc_id for r in got) == Counter(list(texts))
     assert all(r.held_out == (crc32(str(r.doc_id).encode()) % parts == held) for r in got)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= threshold) for r in got)
-    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    hits = [r.predicted == labels[r.doc_id] for r in got if not r.held_out and r.doc_id in labels]
-    assert np.mean(hits) > 0.9
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    hits = [r.predicted == labels[r.doc_id] for r in got if r.held_out and r.doc_id in labels]
+    assert len(hits) > 50 and np.mean(hits) >= least
     by_text = defaultdict(set)
     for r in got:
         by_text[texts[r.doc_id]].add(r.score)
@@ -133,11 +136,11 @@ def test_pipeline_stage_by_stage(spark, texts):
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
     clean = stages["toxicity"](spark, docs, SF).cache()
-    toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("toxic = 1").collect()}
+    labelled = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.toxic is not None}
     kept = {r.doc_id for r in clean.collect()}
-    gone = set(texts) - kept
-    assert clean.columns == columns and len(gone - toxic) <= 0.02 * len(texts)
-    assert len(kept & toxic) <= 0.2 * len(toxic)
+    harmless, toxic = ({i for i, t in labelled.items() if t == k} for k in (0, 1))
+    assert clean.columns == columns and kept <= set(texts)
+    assert len(harmless - kept) <= 0.05 * len(harmless) and len(kept & toxic) <= 0.2 * len(toxic)
 
     unique = stages["exact_dedup"](spark, clean, SF).cache()
     newest = {}
