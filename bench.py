@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (data folder), BENCH_CPUS (local cores), BENCH_REPEAT (timed runs each).
-Raw tables and marts are stored first and timed on their own; every query is then run to completion
+Zones, sites and marts are stored first and timed on their own (other raw tables are not written); every query is then run to completion
 into a sink that discards the rows, and its fastest run is reported. Serving and dashboard queries
 read the stored marts, all others start from the raw tables.
 """

@@ -161,9 +161,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def analog(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def analog(spark: SparkSession, sf_dir: str, name: str, rows: DataFrame | None = None) -> DataFrame:
+    """A raw-shaped table from the rows of its source, as they lie in the folder or as given."""
     source, columns = ANALOGS[name]
-    df = table(spark, sf_dir, source).selectExpr(
+    df = (table(spark, sf_dir, source) if rows is None else rows).selectExpr(
         *[f"{render(e, SPARK)} as `{c}`" for c, e in columns.items()])
     return df.distinct() if name in DISTINCT else df
 

@@ -13,7 +13,7 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citylode.catalog.analogs import ANALOGS, analog, geojson_documents, table
+from citylode.catalog.analogs import ANALOGS, DISTINCT, analog, geojson_documents, table
 from citylode.functions import casts
 from citylode.functions import geometry as geo
 from citylode.functions.numeric import steady
@@ -62,7 +62,7 @@ def stored(
 ) -> DataFrame:
     """A table written to the shared scratch folder on first use in a session, then read from there.
 
-    Raw, zone and served tables are stored tables, not views: what is measured and planned on top of
+    Zone, silver and served tables are stored tables, not views: what is measured and planned on top of
     them should not include deriving them from the test tables again.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -71,10 +71,21 @@ def stored(
     return STORED[key]
 
 
-def spread(df: DataFrame, source: DataFrame) -> DataFrame:
-    """Spread rows over the cores when their source table gives fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if source.rdd.getNumPartitions() < cores else df
+def spread(source: DataFrame) -> DataFrame:
+    """A table's rows spread over the cores when it gives fewer splits than there are cores."""
+    cores = source.sparkSession.sparkContext.defaultParallelism
+    return source.repartition(cores) if source.rdd.getNumPartitions() < cores else source
+
+
+PROJECTED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def projected(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A raw table as a projection of its test table: each reader derives the columns that it uses, no others."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in PROJECTED:
+        PROJECTED[key] = analog(spark, sf_dir, name, spread(table(spark, sf_dir, ANALOGS[name][0])))
+    return PROJECTED[key]
 
 
 class City:
@@ -84,9 +95,10 @@ class City:
         self.spark, self.sf_dir = spark, sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        source = ANALOGS[name][0]
-        return stored(self.spark, self.sf_dir, name, lambda: spread(
-            analog(self.spark, self.sf_dir, name), table(self.spark, self.sf_dir, source)))
+        """A raw table. Only one without repeated rows is stored; writing the others costs more than all reads do."""
+        def build() -> DataFrame:
+            return projected(self.spark, self.sf_dir, name)
+        return stored(self.spark, self.sf_dir, name, build) if name in DISTINCT else build()
 
     def served(self, name: str) -> DataFrame:
         """A stored mart, partitioned by month like a served table."""
