@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 600_000
 CONTROL = re.compile("[\x1c-\x1f]").search  # white space for str.split, not for the vocabulary
 # A run of Latin letters, then a run of ASCII marks: every such chunk is its letters in lower case as
 # one word and its marks as another, whatever stands around it.
@@ -28,7 +29,7 @@ def byte_alphabet() -> list[str]:
 
 
 class Chunks(dict):
-    """Chunk of a text -> its ids as little-endian 16-bit integers."""
+    """Chunk of a text -> its ids as little-endian 16-bit integers. A word is a chunk as well and kept once."""
 
     def __init__(self, path: str, plain_special: bool):
         super().__init__()
@@ -36,25 +37,22 @@ class Chunks(dict):
         self.tokenizer.encode_special_tokens = plain_special
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("the vocabulary needs ids below 65,536")
-        self.model, self.words = self.tokenizer.model, {}
+        self.model = self.tokenizer.model
         self.alphabet = {i: c for i, c in enumerate(byte_alphabet())}
 
     def word(self, text: str) -> bytes:
-        """Ids of one word of the vocabulary's own splitting."""
-        if (ids := self.words.get(text)) is None:
-            shown = text.encode().decode("latin-1").translate(self.alphabet)
-            ids = np.array([t.id for t in self.model.tokenize(shown)], "<u2").tobytes()
-            if len(self.words) >= MEMO_ENTRIES:
-                self.words.clear()
-            self.words[text] = ids
-        return ids
+        """Ids of one word of the vocabulary's own splitting, letters in lower case or marks."""
+        shown = text if text.isascii() else text.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return pack(f"<{len(ids)}H", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
         if chunk.isascii() and chunk.isalpha():
-            ids = self.word(chunk.lower())
+            ids = self.word(chunk) if chunk.islower() else self[chunk.lower()]
         elif match := PLAIN(chunk):
             letters, marks = match.groups()
-            ids = self.word(letters.lower()) + (self.word(marks) if marks else b"")
+            lower = letters.lower()
+            ids = self[lower] + self[marks] if marks else self.word(lower) if lower == chunk else self[lower]
         else:
             ids = self.whole(chunk)
         if len(self) >= MEMO_ENTRIES:

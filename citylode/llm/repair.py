@@ -18,7 +18,7 @@ import numpy as np
 MAGIC = b"RPR2"
 LEAST = 3  # a rule costs two symbols and a length, and saves a symbol per use: two uses do not pay for it
 FALL = 0.67  # of the limit from one round to the next
-SLOTS = 18  # binary logarithm of the counters that rule out rare pairs
+SLOTS = 19  # binary logarithm of the counters that rule out rare pairs
 
 
 def slots_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -68,14 +68,13 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray
     symbols, rules, made, limit = ids.astype(np.uint32), [], 0, None
     live = np.arange(len(symbols) - 1)
     while len(live):
-        left, right = symbols[live], symbols[live + 1]
-        slot = slots_of(left, right)
+        left, right = symbols.take(live), symbols[1:].take(live)
+        slot = slots_of(left, right).astype(np.intp)
         counters = np.bincount(slot, minlength=1 << SLOTS)
-        seen = counters[slot]
-        most = int(seen.max())
+        most = int(counters.max())
         limit = max(least, min(most, most if limit is None else int(limit * FALL)))
         while True:
-            maybe = np.flatnonzero(seen >= limit)
+            maybe = np.flatnonzero((counters >= limit).take(slot))
             pairs = left[maybe].astype(np.uint64) << np.uint64(32) | right[maybe]
             found, counts = np.unique(pairs, return_counts=True)
             same = found >> np.uint64(32) == found & np.uint64(0xFFFFFFFF)
@@ -101,11 +100,10 @@ def compress(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray
         keep = np.ones(len(symbols), bool)
         keep[where + 1] = False
         again = np.zeros(len(symbols), bool)
-        again[live] = seen >= least
+        again[live[(counters >= least).take(slot)]] = True
         again[where] = again[np.maximum(where - 1, 0)] = True
-        kept = np.flatnonzero(keep)
-        symbols = symbols[kept]
-        live = np.flatnonzero(again[kept][:-1])
+        symbols, again = symbols[keep], again[keep]
+        live = np.flatnonzero(again[:-1])
         rules.append(np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(chosen)
     return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)

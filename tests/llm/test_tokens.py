@@ -271,3 +271,13 @@ def test_pack_documents_reads_whole_texts(spark):
     got = packing.pack_documents(spark, frame(spark, texts)).collect()
     counts = [(i, len((t or "").encode().split()) if t != "a\x1cb\x85c" else 1) for i, t in enumerate(texts)]
     check_packing(got, counts, packing.CAPACITIES)
+
+
+def test_a_word_is_kept_once_and_tokenised_once(monkeypatch):
+    chunks, asked = encoder.Chunks(VOCABULARY, False), []
+    word = encoder.Chunks.word
+    monkeypatch.setattr(encoder.Chunks, "word", lambda self, text: asked.append(text) or word(self, text))
+    text = "Plain plain PLAIN plain, Plain; été Été, ÉTÉ"
+    assert chunks.encode(text) == chunks.whole(text)
+    assert asked == ["plain", "été"]
+    assert not hasattr(chunks, "words") and {"plain", "été", ",", ";"} <= set(chunks)
