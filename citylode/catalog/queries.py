@@ -193,12 +193,13 @@ SILVER: dict[str, Callable[[City], DataFrame]] = {
     "stg_trafic_routier": lambda city: city.road_counts(),
     "stg_stations_velib": lambda city: silver.bike_stations(city.raw("raw_stations_velib")),
     "stg_arrondissements": lambda city: city.zones(),
-    "int_air_quality_idf": lambda city: city.air(),
-    "int_velo_daily": lambda city: city.bikes(),
-    "int_trafic_daily": lambda city: city.roads(),
-    "int_air_quality_zoned": lambda city: city.air_zoned(),
-    "int_trafic_zoned": lambda city: city.road_zoned(),
-    "int_velo_zoned": lambda city: city.bike_zoned(),
+    "int_air_quality_idf": lambda city: silver.air_region(
+        city.silver("stg_air_quality"), city.silver("stg_coordonnees"), SITES),
+    "int_velo_daily": lambda city: silver.bike_daily(city.silver("stg_trafic_velo")),
+    "int_trafic_daily": lambda city: silver.road_daily(city.silver("stg_trafic_routier")),
+    "int_air_quality_zoned": lambda city: silver.air_zoned(city.silver("int_air_quality_idf"), city.index),
+    "int_trafic_zoned": lambda city: silver.road_zoned(city.silver("int_trafic_daily"), city.index),
+    "int_velo_zoned": lambda city: silver.bike_zoned(city.silver("int_velo_daily"), city.index),
 }
 
 AIR_AVERAGES = ("valeur_moyenne", "taux_saisie_moyen")

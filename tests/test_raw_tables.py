@@ -28,3 +28,11 @@ def test_a_reader_scans_only_what_its_columns_need(spark):
 def test_a_raw_table_without_repeated_rows_is_stored(spark):
     City(spark, SF_DIR).raw("raw_coordonnees")
     assert "raw_coordonnees" in written(spark)
+
+
+def test_daily_and_zoned_tables_are_made_of_stored_ones(spark, monkeypatch):
+    city = City(spark, SF_DIR)
+    city.silver("stg_trafic_routier")
+    monkeypatch.setattr(City, "raw", lambda self, name: 1 / 0)
+    assert city.silver("int_trafic_daily").count()
+    assert "arc_id" in city.silver("int_trafic_zoned").columns
