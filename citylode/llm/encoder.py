@@ -2,7 +2,8 @@
 
 The vocabulary drops white space and never merges across it, so a text's ids are the ids of its
 white-space-free chunks one after another. Each task remembers the ids of the chunks it has met; a
-chunk it has not met is encoded by the ``tokenizers`` library. The memo is bounded and only saves time.
+chunk it has not met is encoded by the ``tokenizers`` library. The memo is bounded and only saves time:
+when it is full it becomes the older half, and chunks met again are taken over from there.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ class Chunks(dict):
 
     def __init__(self, path: str, plain_special: bool):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_special
         if self.tokenizer.get_vocab_size() > 1 << 16:
@@ -47,20 +49,26 @@ class Chunks(dict):
         return pack(f"<{len(ids)}H", *ids)
 
     def __missing__(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk.isalpha():
-            ids = self.word(chunk) if chunk.islower() else self[chunk.lower()]
-        elif match := PLAIN(chunk):
-            letters, marks = match.groups()
-            lower = letters.lower()
-            ids = self[lower] + self[marks] if marks else self.word(lower) if lower == chunk else self[lower]
-        else:
-            ids = self.whole(chunk)
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = self.made(chunk)
         if len(self) >= MEMO_ENTRIES:
+            self.older = dict(self)
             self.clear()
         if len(chunk) <= 64:
             self[chunk] = ids
         return ids
 
+    def made(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not remembered."""
+        if chunk.isascii() and chunk.isalpha():
+            return self.word(chunk) if chunk.islower() else self[chunk.lower()]
+        if match := PLAIN(chunk):
+            letters, marks = match.groups()
+            lower = letters.lower()
+            return self[lower] + self[marks] if marks else self.word(lower) if lower == chunk else self[lower]
+        return self.whole(chunk)
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 16-bit integers; none for null."""
         if not text:

@@ -18,11 +18,16 @@ import numpy as np
 MAGIC = b"RPR2"
 LEAST = 3  # a rule costs two symbols and a length, and saves a symbol per use: two uses do not pay for it
 FALL = 0.67  # of the limit from one round to the next
-SLOTS = 19  # binary logarithm of the counters that rule out rare pairs
+SLOTS = 19  # binary logarithm of the counters that rule out rare pairs, at most
+NEVER = 255  # the round of places that begin no pair frequent enough
 
 
-def slots_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - SLOTS)
+def counted(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """For each of some pairs how often it occurs among them, or more where pairs share a counter."""
+    bits = min(SLOTS, len(left).bit_length() + 1)
+    slot = (left * np.uint32(0x9E3779B1) ^ right * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+    slot = slot.astype(np.intp)
+    return np.bincount(slot, minlength=1 << bits).take(slot)
 
 
 def chosen_pairs(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -50,63 +55,108 @@ def chosen_pairs(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.sort(found[order[taken]])
 
 
-def taken_places(where: np.ndarray) -> np.ndarray:
+def taken_places(where: np.ndarray, following: np.ndarray | None = None) -> np.ndarray:
     """Which of some places, sorted, are replaced: only pairs of two equal symbols overlap, and of a run of them
-    the first, third and so on are."""
-    begins = np.concatenate([[True], np.diff(where) > 1])
+    the first, third and so on are. The place that follows each is the next number unless given."""
+    following = where + 1 if following is None else following
+    goes_on = where[1:] == following[:-1]
+    if not goes_on.any():
+        return np.ones(len(where), bool)
+    begins = np.concatenate([[True], ~goes_on])
     run_start = np.maximum.accumulate(np.where(begins, np.arange(len(where)), 0))
     return (np.arange(len(where)) - run_start) % 2 == 0
 
 
+def by_pair(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of symbols of ``bits`` bits, sorted, and where each was; equal ones stay in order.
+
+    Where a pair and its place fit 64 bits together, numbers of both are sorted, which is faster.
+    """
+    room = np.uint64(len(left).bit_length())
+    if 2 * bits + int(room) > 64:
+        pairs = left.astype(np.uint64) << np.uint64(32) | right
+        order = np.argsort(pairs, kind="stable")
+        return pairs[order], order
+    keys = left.astype(np.uint64) << (room + np.uint64(bits))
+    keys |= right.astype(np.uint64) << room
+    keys |= np.arange(len(left), dtype=np.uint64)
+    keys.sort()
+    order = (keys & ((np.uint64(1) << room) - np.uint64(1))).astype(np.intp)
+    keys >>= room
+    return keys >> np.uint64(bits) << np.uint64(32) | keys & ((np.uint64(1) << np.uint64(bits)) - np.uint64(1)), order
+
+
+def falling_limits(most: int, least: int) -> tuple[list[int], np.ndarray]:
+    """The limits of the rounds, and for every count up to ``most`` the first round that takes such pairs."""
+    limits = [max(least, most)]
+    while limits[-1] > least:
+        limits.append(max(least, int(limits[-1] * FALL)))
+    rounds = np.full(most + 1, NEVER, np.uint8)
+    for k in reversed(range(len(limits))):
+        rounds[limits[k]:] = k
+    return limits, rounds
+
+
 def compress(ids: np.ndarray, base: int, least: int = LEAST) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (a pair of symbols each) of a sequence of ids below ``base``.
 
     Goes on until no pair occurs ``least`` times. Each round takes the pairs above a falling limit, the most
-    frequent ones first, and replaces all those together that do not overlap. A pair that is rare stays rare, as
-    new pairs hold new symbols, so only places that may begin a frequent pair are looked at again.
+    frequent ones first, and replaces all those together that do not overlap. All occurrences of a pair arise
+    in one round, that of its newer symbol, and only get fewer after it. So a place is counted when its pair
+    arises, and looked at again in the round whose limit that count reaches. Symbols stay where they are and
+    are linked, so that a round costs what it looks at.
     """
-    symbols, rules, made, limit = ids.astype(np.uint32), [], 0, None
-    live = np.arange(len(symbols) - 1)
-    while len(live):
-        left, right = symbols.take(live), symbols[1:].take(live)
-        slot = slots_of(left, right).astype(np.intp)
-        counters = np.bincount(slot, minlength=1 << SLOTS)
-        most = int(counters.max())
-        limit = max(least, min(most, most if limit is None else int(limit * FALL)))
-        while True:
-            maybe = np.flatnonzero((counters >= limit).take(slot))
-            pairs = left[maybe].astype(np.uint64) << np.uint64(32) | right[maybe]
-            found, counts = np.unique(pairs, return_counts=True)
-            same = found >> np.uint64(32) == found & np.uint64(0xFFFFFFFF)
-            counts[same] = (counts[same] + 1) // 2  # at least so many of them do not overlap
-            often = counts >= limit
-            found, counts = found[often], counts[often]
-            if len(found) or limit == least:
-                break
-            limit = max(least, int(limit * FALL))
-        if not len(found):
+    symbols, rules, made, n = ids.astype(np.uint32), [], 0, len(ids)
+    alive = np.ones(n, bool)
+    if n < 2:
+        return symbols, np.zeros((0, 2), np.uint32)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    after, before = np.arange(1, n + 1, dtype=kind), np.arange(-1, n, dtype=kind)
+    counts = counted(symbols[:-1], symbols[1:])
+    most = int(counts.max())
+    limits, rounds = falling_limits(most, least)
+    turn = np.full(n, NEVER, np.uint8)  # the round in which a place is looked at
+    turn[:-1] = rounds.take(counts)
+    k, last = 0, len(limits) - 1
+    while True:
+        limit, coming = limits[k], min(k + 1, last)
+        places = np.flatnonzero(turn == k)
+        pairs, order = by_pair(symbols.take(places), symbols.take(after.take(places)), (base + made).bit_length())
+        places = places.take(order)  # in the order of their pairs, then of the text
+        starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.arange(0)
+        found, sizes = pairs.take(starts), np.diff(starts, append=len(pairs))
+        same = found >> np.uint64(32) == found & np.uint64(0xFFFFFFFF)
+        counts = np.where(same, (sizes + 1) // 2, sizes)  # at least so many of them do not overlap
+        often = np.flatnonzero(counts >= limit)
+        if not len(often) and k == last:
             break
-        chosen = chosen_pairs(found, counts)
-        taken = np.zeros(1 << SLOTS, bool)  # the counters of the chosen pairs rule most other places out
-        taken[slots_of((chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32))] = True
-        near = np.flatnonzero(taken[slot[maybe]])
-        pairs, maybe = pairs[near], maybe[near]
-        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
-        hit = np.flatnonzero(chosen[at] == pairs)
-        where, which = live[maybe[hit]], at[hit]
-        places = taken_places(where)
-        where, which = where[places], which[places]
-        symbols[where] = base + made + which
-        keep = np.ones(len(symbols), bool)
-        keep[where + 1] = False
-        again = np.zeros(len(symbols), bool)
-        again[live[(counters >= least).take(slot)]] = True
-        again[where] = again[np.maximum(where - 1, 0)] = True
-        symbols, again = symbols[keep], again[keep]
-        live = np.flatnonzero(again[:-1])
+        turn[places] = np.repeat(np.maximum(rounds.take(np.minimum(counts, most)), coming), sizes)
+        k = coming
+        if not len(often):
+            continue
+        chosen = chosen_pairs(found[often], counts[often])
+        at = np.searchsorted(found, chosen)
+        where = places.take(spans(starts[at], sizes[at]))
+        new, first = np.repeat(np.arange(base + made, base + made + len(chosen), dtype=np.uint32), sizes[at]), base + made
+        gone = after.take(where)
+        if (found[at] >> np.uint64(32) == found[at] & np.uint64(0xFFFFFFFF)).any():
+            taken = taken_places(where, gone)
+            where, new, gone = where[taken], new[taken], gone[taken]
+        then = after.take(gone)
+        symbols[where] = new
+        alive[gone], turn[gone] = False, NEVER
+        after[where], before[then] = then, where
+        prior = before.take(where)
+        prior = prior[prior >= 0]
+        end = then == n  # the last symbol begins no pair
+        turn[where[end]] = NEVER
+        born = np.concatenate([where[~end], prior[symbols.take(prior) < first]])
+        if len(born):
+            counts = counted(symbols.take(born), symbols.take(after.take(born)))
+            turn[born] = np.maximum(rounds.take(np.minimum(counts, most)), coming)
         rules.append(np.column_stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(chosen)
-    return symbols, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+    return symbols[alive], np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def pack_symbols(symbols: np.ndarray, bits: int) -> bytes:

@@ -281,3 +281,32 @@ def test_a_word_is_kept_once_and_tokenised_once(monkeypatch):
     assert chunks.encode(text) == chunks.whole(text)
     assert asked == ["plain", "été"]
     assert not hasattr(chunks, "words") and {"plain", "été", ",", ";"} <= set(chunks)
+
+
+def test_repair_looks_at_a_place_a_few_times(monkeypatch):
+    """However many rounds there are, a place is counted when its pair arises and when the limit reaches it."""
+    rng = random.Random(5)
+    ids = np.array([int(rng.paretovariate(0.7)) % 5000 for _ in range(60_000)], np.uint16)
+    counted, real = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **k: counted.append(len(x)) or real(x, *a, **k))
+    repair.compress(ids, 49408)
+    assert len(counted) > 15 and sum(counted) < 4 * len(ids)
+
+
+@pytest.mark.parametrize("bits", [6, 31])
+def test_pairs_are_sorted_with_their_places(bits):
+    rng = np.random.default_rng(bits)
+    left, right = rng.integers(0, 1 << bits, 500, dtype=np.uint32) | np.uint32(1), rng.integers(0, 9, 500, dtype=np.uint32)
+    pairs, order = repair.by_pair(left, right, bits)
+    assert order.tolist() == sorted(range(500), key=lambda i: (left[i], right[i], i))
+    assert (pairs == (left[order].astype(np.uint64) << np.uint64(32) | right[order])).all()
+
+
+def test_a_full_memo_keeps_what_is_met_again(monkeypatch):
+    monkeypatch.setattr(encoder, "MEMO_ENTRIES", 20)
+    chunks, asked = encoder.Chunks(VOCABULARY, False), []
+    word = encoder.Chunks.word
+    monkeypatch.setattr(encoder.Chunks, "word", lambda self, text: asked.append(text) or word(self, text))
+    text = " ".join(f"often {a}{b}" for a in "abcdefgh" for b in "klmnopqrst")
+    assert chunks.encode(text) == chunks.whole(text)
+    assert asked.count("often") == 1 and len(chunks) + len(chunks.older) <= 40
