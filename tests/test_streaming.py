@@ -1,5 +1,6 @@
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from conftest import rows
@@ -99,6 +100,25 @@ def test_files_of_a_batch_that_are_partly_known(spark, tmp_path):
     assert rows(ingest.loaded(spark, work + "/raw").select("code_site")) == [("a",), ("b",)]
 
 
+def test_only_files_that_are_not_known_are_opened(spark, tmp_path):
+    landed, work, opened = tmp_path / "landed", str(tmp_path / "work"), []
+
+    def run(checkpoint):
+        stream = ingest.stream_delimited(spark, str(landed), SITE_COLUMNS)
+        noted = replace(stream, scan=lambda paths: opened.extend(paths) or stream.scan(paths))
+        ingest.load_new_files(noted, work + "/raw", work + "/bad", f"{work}/{checkpoint}")
+        return rows(ingest.loaded(spark, work + "/raw").select("code_site"))
+
+    put(landed / "2026/06/08/07/00", "a[1] {x}*.csv", "h;h;h\na;1;2\n")
+    put(landed / "2026/06/08/07/00", "a1 x.csv", "h;h;h\nb;1;2\n")
+    put(landed / "2026/06/08/07/00", "empty.csv", "")
+    assert run(1) == [("a",), ("b",)] and len(opened) == 2
+    assert run(2) == [("a",), ("b",)] and len(opened) == 2
+    put(landed / "2026/06/09/07/00", "c.csv", "h;h;h\nc;1;2\nbroken\n")
+    assert run(3) == [("a",), ("b",), ("c",)] and len(opened) == 3
+    assert rows(spark.read.parquet(work + "/bad").select("_corrupt_record")) == [("broken",)]
+
+
 def test_json_arrays_and_documents_are_loaded_once_across_checkpoints(spark, tmp_path):
     landed, work = tmp_path / "landed", str(tmp_path / "work")
     put(landed / "stations/2026/06/08/07/00", "1.json", json.dumps([
