@@ -46,12 +46,13 @@ def day_in_format(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
 
 def latitude(pair: Column) -> Column:
     """First half of 'lat,lon' text, NULL when absent or bad."""
-    return F.split_part(pair, F.lit(","), F.lit(1)).try_cast("double")
+    return F.substring_index(pair, ",", 1).try_cast("double")
 
 
 def longitude(pair: Column) -> Column:
-    """Second half of 'lat,lon' text, NULL when absent or bad."""
-    return F.split_part(pair, F.lit(","), F.lit(2)).try_cast("double")
+    """Second half of 'lat,lon' text, NULL when absent or bad. Unlike ``split_part``, this builds no array a row."""
+    second = F.substring_index(F.substring_index(pair, ",", 2), ",", -1)
+    return F.when(F.contains(pair, F.lit(",")), second).try_cast("double")
 
 
 def is_yes(text: Column) -> Column:

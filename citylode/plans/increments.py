@@ -114,11 +114,9 @@ def fingerprint(df: DataFrame) -> str:
         F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first())
 
 
-def new_rows(table: VersionedTable, raw: DataFrame) -> tuple[DataFrame, int]:
-    """Raw rows of the batches that a table has not taken yet, and the last batch."""
-    mark = int(table.manifest().notes.get(BATCH, 0))
-    last = raw.agg(F.max(BATCH)).first()[0]
-    return raw.filter(F.col(BATCH) > mark).drop(BATCH), max(mark, int(last or 0))
+def new_rows(table: VersionedTable, raw: DataFrame) -> DataFrame:
+    """Raw rows of the batches that a table has not taken yet, with their batch."""
+    return raw.filter(F.col(BATCH) > int(table.manifest().notes.get(BATCH, 0)))
 
 
 def stage_measured(spark: SparkSession, staging: Staging, source: Measured, raw: DataFrame, root: str) -> Update | None:
@@ -128,12 +126,15 @@ def stage_measured(spark: SparkSession, staging: Staging, source: Measured, raw:
     older load changes nothing. Days that lie outside the calendar are never replaced: rows are added.
     """
     table = silver_table(spark, root, source.staged)
-    new, last = new_rows(table, raw)
-    if table.version() and last == int(table.manifest().notes.get(BATCH, 0)):
+    new = new_rows(table, raw)
+    # One pass tells the last batch and the loads; rows without a day have a batch as well.
+    found = staging.put(new.groupBy(source.raw_day().alias("day")).agg(
+        F.max("_loaded_at").alias("newest_load"), F.max(BATCH).alias(BATCH)), f"{source.staged}-loads")
+    last = found.agg(F.max(BATCH)).first()[0]
+    if table.version() and last is None:
         return None
     known = table.side(DAYS)
-    loads = new.groupBy(source.raw_day().alias("day")).agg(F.max("_loaded_at").alias("newest_load")).filter(
-        "day is not null and newest_load is not null")
+    loads = found.drop(BATCH).filter("day is not null and newest_load is not null")
     before = F.col("known_load")
     if known is None:
         loads = loads.withColumn("known_load", F.lit(None).cast("timestamp_ntz"))
@@ -143,9 +144,9 @@ def stage_measured(spark: SparkSession, staging: Staging, source: Measured, raw:
     changed = staging.put(loads.filter(~usual | before.isNull() | (F.col("newest_load") >= before)).select(
         "day", "newest_load", (usual & (before.isNull() | (F.col("newest_load") > before))).alias("replaces")), source.staged)
     newest = changed.filter(in_calendar(F.col("day"))).select(F.col("day").alias("load_day"), "newest_load")
-    rows = staging.rows(source.typed(new, newest=newest), source.staged)
+    rows = staging.rows(source.typed(new.drop(BATCH), newest=newest), source.staged)
     return Update(table, rows, changed.filter("replaces").select("day"), changed.select("day", "newest_load"),
-                  source.day, {BATCH: last})
+                  source.day, {BATCH: int(last or 0)})
 
 
 def stage_derived(
@@ -198,7 +199,7 @@ def refreshed(
         whole["stg_stations_velib"] = silver.bike_stations(raw.stations)
     whole = {name: staging.put(df, name) for name, df in whole.items()}
     if check is not None:
-        fresh = {m.raw: new_rows(tables[m.staged], sources[m.raw])[0] for m in MEASURED}
+        fresh = {m.raw: new_rows(tables[m.staged], sources[m.raw]).drop(BATCH) for m in MEASURED}
         check("staging", sources | fresh | whole | {n: u.rows for n, u in updates.items() if u is not None})
     side_by_side({n: u.publish for n, u in updates.items() if u is not None})
     for name, df in whole.items():

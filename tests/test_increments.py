@@ -144,3 +144,19 @@ def test_a_run_lost_between_tables_is_finished_by_the_next(spark, tmp_path, monk
     monkeypatch.setattr(increments, "publish_checked", whole)
     got = as_text(refresh_silver(spark, together(batches), root, SITES))
     assert got == full(spark, batches, str(tmp_path / "b"))
+
+
+def test_new_rows_are_not_scanned_for_the_last_batch(spark, tmp_path):
+    """The pass that finds the loads finds the last batch, also of rows that have no day."""
+    first = batch_of(spark, 1, dt.datetime(2026, 7, 1), bikes=[bike("2026-05-01", "4")])
+    sc = spark.sparkContext
+    sc.setJobGroup("new-rows", "")
+    increments.new_rows(nightly.silver_table(spark, str(tmp_path), "stg_trafic_velo"), first.bikes)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert list(sc.statusTracker().getJobIdsForGroup("new-rows")) == []
+    refresh_silver(spark, first, str(tmp_path), SITES)
+    dayless = batch_of(spark, 2, dt.datetime(2026, 7, 2), bikes=[bike("2026-05-01", "9") | {"date": None}])
+    got = refresh_silver(spark, together([first, dayless]), str(tmp_path), SITES)
+    assert rows(got["stg_trafic_velo"].select("nb_passages")) == [(4,)]
+    notes = nightly.silver_table(spark, str(tmp_path), "stg_trafic_velo").manifest().notes
+    assert notes[increments.BATCH] == 2
